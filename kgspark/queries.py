@@ -1,4 +1,4 @@
-"""Queries of the core's own problems over the test tables; the rest of the catalogue lives in kgspark.plans."""
+"""All core queries over the test tables: those of the problem of missing records, and the catalogue in kgspark.plans."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import plans
 from .operators.orphans import Reference, Source, find_orphans, orphan_summary
 from .session import table
 
@@ -39,4 +40,4 @@ def p4_cascade(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_cascade)}
+    return plans.load()[0] | {f.__name__: f for f in (p4_found, p4_cascade)}

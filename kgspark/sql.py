@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import plans
+
 _KEY = r"nullif(trim(regexp_replace(lower({}), '[\s_-]+', ' ', 'g')), '')"
 
 
@@ -22,7 +24,7 @@ direct AS (SELECT ref_table, ref_field, record_id, strftime(l, '%Y-%m') AS ref_m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return plans.load()[1] | {
         "p4_found": f"WITH {_refs(False)} SELECT * FROM direct WHERE reason IS NOT NULL",
         "p4_cascade": f"""WITH {_refs(True)},
 bad AS (SELECT DISTINCT record_id AS pid FROM direct WHERE reason IS NOT NULL AND ref_table = 'indicators'),
