@@ -15,7 +15,7 @@ from ..session import checkpointed
 UNIT = 1_000_000
 
 
-def rake(cells: DataFrame, sources: DataFrame, others: Sequence[str], rounds: int = 8, tolerance: float = 0.005) -> DataFrame:
+def rake(cells: DataFrame, sources: DataFrame, others: Sequence[str], rounds: int = 5, tolerance: float = 0.01) -> DataFrame:
     """``cells`` (source, others, tokens) with ``weight``, the copies each document of a cell should have on average.
 
     Iterative proportional fitting: weights start from what gives each source its target (``sources``: source, target,
@@ -39,15 +39,44 @@ def rake(cells: DataFrame, sources: DataFrame, others: Sequence[str], rounds: in
         for dim in others:
             now = state.groupBy(dim).agg((F.sum("tokens") * F.lit(mass / everything)).alias("want"), F.sum(F.col("tokens") * F.col("weight")).alias("now"))
             state = _scale(state, now, dim).withColumn("miss", F.when(F.col("weight") < F.col("cap"), F.greatest("miss", F.abs(F.col("f") - 1))).otherwise(F.col("miss"))).drop("f")
-        for _ in range(2):  # again for what the caps took away
-            now = state.groupBy("source").agg(F.first("target").alias("want"), F.sum(F.col("tokens") * F.col("weight")).alias("now"))
-            state = _scale(state, F.broadcast(now), "source").drop("f")
-        state = checkpointed(state)
+        now = state.groupBy("source").agg(F.first("target").alias("want"), F.sum(F.col("tokens") * F.col("weight")).alias("now"))
+        state = checkpointed(_scale(state, F.broadcast(now), "source").drop("f"))
         miss = state.agg(F.max("miss").alias("m")).first()["m"] or 0.0
         if miss <= tolerance or before is not None and miss > 0.9 * before:  # caps can make the marginals impossible
             break
         before = miss
-    return state
+    return _reach(state)
+
+
+def _reach(state: DataFrame, steps: int = 64, refinements: int = 3) -> DataFrame:
+    """Weights scaled so that each source reaches its target under its cap, as nearly as it can.
+
+    The factor is bracketed on a geometric grid: one aggregate gives the sums for all its steps, and the bracket is
+    refined a few times. There is one bracket per listed source.
+    """
+    spark = state.sparkSession
+    bracket = {r["source"]: (1e-4, 1e4, r["target"]) for r in state.select("source", "target").distinct().collect()}
+    grid = lambda k: F.col("lo") * F.pow(F.col("hi") / F.col("lo"), F.lit(k / (steps - 1)))
+    for _ in range(refinements):
+        rows = spark.createDataFrame([(s, lo, hi) for s, (lo, hi, _) in bracket.items()], "source string, lo double, hi double")
+        sums = state.join(F.broadcast(rows), "source").groupBy("source").agg(*(F.sum(F.col("tokens") * F.least(F.col("cap"), F.col("weight") * grid(k))).alias(f"s{k}") for k in range(steps)))
+        for r in sums.collect():
+            lo, hi, want = bracket[r["source"]]
+            at = lambda k: lo * (hi / lo) ** (k / (steps - 1))  # noqa: B023, E731
+            k = next((k for k in range(steps) if r[f"s{k}"] >= want), steps - 1)
+            bracket[r["source"]] = (at(max(k - 1, 0)), at(k), want)
+    rows = spark.createDataFrame([(s, hi) for s, (_, hi, _) in bracket.items()], "source string, f double")
+    return checkpointed(state.join(F.broadcast(rows), "source").withColumn("weight", F.least("cap", F.col("weight") * F.col("f"))).drop("f"))
+
+
+def _start(summed: DataFrame, tries: int = 32) -> DataFrame:
+    """(source, start): of evenly spread starting points of the systematic sample the one that brings the tokens drawn
+    nearest to those expected; one aggregate tries them all."""
+    at = [k * UNIT // tries for k in range(tries)]
+    drawn = lambda u: F.expr(f"(before + w + {u}) div {UNIT} - (before + {u}) div {UNIT}")
+    off = summed.groupBy("source").agg(*(F.abs(F.sum(F.col("tokens") * (drawn(u) * UNIT - F.col("w")))).alias(f"e{k}") for k, u in enumerate(at)))
+    best = F.array_min(F.array(*(F.struct(F.col(f"e{k}").alias("e"), F.lit(u).alias("u")) for k, u in enumerate(at))))
+    return off.select("source", best["u"].alias("start"))
 
 
 def _scale(state: DataFrame, now: DataFrame, dim: str) -> DataFrame:
@@ -62,7 +91,8 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str, size: str, source: str
     of repeats. Weights are calibrated over (source, others) cells by ``rake``; then copies are drawn with those
     expectations by systematic sampling: documents of a source are range-sorted by size and a hash of the key, weights
     are added up along that order over the whole cluster, and a document has as many copies as its stretch holds whole
-    numbers. So the copies of a source never stray from their target by more than about one document's tokens, a
+    numbers; of 32 starting points the one nearest to the source's target is taken. So a source strays from its target
+    by less than its largest document's tokens, a
     document's copies are its weight rounded up or down and never more than ``max_repeats``, and no draw depends on the
     partitioning. Cells are joined back by a skew-safe lookup.
 
@@ -84,9 +114,9 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str, size: str, source: str
     weights = rake(cells, sources, labels).select("source", *labels, "weight")
     weighed = lookup_join(base.where("tokens > 0"), weights, ["source", *labels], "inner")
     weighed = weighed.select("key", "source", "tokens", F.floor(F.col("weight") * UNIT + F.lit(1e-6)).cast("long").alias("w"))
-    offset = F.pmod(F.xxhash64(F.lit("start"), "source"), F.lit(UNIT))
-    summed = ordered_totals(weighed, [F.desc("tokens"), F.xxhash64("key"), F.col("key")], {"before": F.col("w")}, within=["source"]).withColumn("b", F.col("before") + offset)
-    copies = (F.floor((F.col("b") + F.col("w")) / F.lit(UNIT)) - F.floor(F.col("b") / F.lit(UNIT))).cast("long")
+    summed = checkpointed(ordered_totals(weighed, [F.desc("tokens"), F.xxhash64("key"), F.col("key")], {"before": F.col("w")}, within=["source"]))
+    summed = summed.join(F.broadcast(_start(summed)), "source").withColumn("b", F.col("before") + F.col("start"))
+    copies = F.expr(f"(b + w) div {UNIT} - b div {UNIT}")
     drawn = summed.select("key", "source", "tokens", (F.col("w") / UNIT).alias("weight"), copies.alias("copies"))
     empty = base.where("tokens <= 0").select("key", "source", "tokens", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("copies"))
     out = drawn.unionByName(empty)
