@@ -108,12 +108,13 @@ def leading_script(skel: str) -> str:
     return max("LCG", key=lambda s: n[s]) if any(n.values()) else "L"
 
 
-def viterbi(word: str, home: str, scores: Mapping[str, float], switch: float = 6.0, abroad: float = 2.0) -> str:
+def viterbi(word: str, home: str, scores: Mapping[str, float], switch: float = 6.0, abroad: float = 6.0) -> str:
     """The most likely letters behind a word's printed form.
 
     Each position offers its look-alikes; a path scores the character bigrams' log frequencies, loses ``switch`` for
-    each change of script and ``abroad`` for each letter outside the text's leading script. Ties go to Latin, then to
-    the earlier path, so the result depends on the printed form, the leading script and the scores only.
+    each change of script and ``abroad`` for each letter outside the word's home: the script of most of its letters
+    that can't be of another, else the text's leading script. Ties go to Latin, then to the earlier path, so the
+    result depends on the printed form, the leading script and the scores only.
     """
     options = []
     for ch in word:
@@ -121,6 +122,8 @@ def viterbi(word: str, home: str, scores: Mapping[str, float], switch: float = 6
         options.append([unicodedata.normalize("NFC", c + marks) for c in LATTICE.get(base, base)])
     if all(len(o) == 1 for o in options):
         return word
+    sure = Counter(x for o in options if len(o) == 1 and (x := script(unicodedata.normalize("NFD", o[0])[0])))
+    home = max("LCG", key=lambda x: sure[x]) if sure else home
     paths: dict[str, tuple[float, str]] = {"": (0.0, "")}
     for o in options:
         new: dict[str, tuple[float, str]] = {}
