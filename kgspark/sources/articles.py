@@ -115,7 +115,7 @@ def phase_text(articles: DataFrame, phase: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """(document_id, text): one row per plain-text file; the id is the file's stem."""
-    df = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(path)
+    df = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     return df.select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("document_id"), F.col("value").alias("text"))
 
 
