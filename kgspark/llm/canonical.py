@@ -94,7 +94,7 @@ class Trie:
                     continue
                 if child[1] and abs(n - depth) <= limit and (d := auto.rows[new][n - depth + limit]) <= limit:
                     for e in child[1]:
-                        if e not in found or d < found[e][0]:
+                        if e not in found or (d, -depth) < (found[e][0], -found[e][1]):
                             found[e] = (d, depth)
                 if child[0]:
                     stack.append((child, depth, new))
@@ -104,8 +104,8 @@ class Trie:
 class Automaton:
     """The Levenshtein automaton for ``n`` edits, for every word at once.
 
-    A state is the band of 2n+1 edit distances around the diagonal (with the band before and its matches, so that two
-    neighbouring letters changed over count as one edit); its input is not a letter but the pattern of places in the
+    A state is the band of 2n+1 edit distances around the diagonal, with the two bands before and their matches, so that
+    two letters changed over count as one edit, also if a letter between them was left out or put in; its input is not a letter but the pattern of places in the
     band where the word has that letter. The states reached are few, so transitions are worked out once and looked up
     from then on, whatever the words.
     """
@@ -113,7 +113,8 @@ class Automaton:
     def __init__(self, n: int) -> None:
         self.n = n
         first = tuple(max(0, t - n) if t >= n else n + 1 for t in range(2 * n + 1))
-        self.ids: dict[tuple, int] = {(first, (n + 1,) * (2 * n + 1), 0): 0}
+        none = (n + 1,) * (2 * n + 1)
+        self.ids: dict[tuple, int] = {(first, none, none, 0, 0): 0}
         self.states: list[tuple] = list(self.ids)
         self.rows: list[tuple[int, ...]] = [first]
         self.moves: dict[tuple[int, int], int] = {}
@@ -124,7 +125,7 @@ class Automaton:
         return self._work_out(state, seen) if to is None else to
 
     def _work_out(self, state: int, seen: int) -> int:
-        row, older, before = self.states[state]
+        row, older, oldest, before, earlier = self.states[state]
         n, width, far = self.n, 2 * self.n + 1, self.n + 1
         new: list[int] = []
         for t in range(width):
@@ -135,10 +136,14 @@ class Automaton:
                 v = min(v, new[t - 1] + 1)
                 if t + 1 < width and seen >> (t - 1) & 1 and before >> (t + 1) & 1:
                     v = min(v, older[t] + 1)
+                if t + 2 < width and seen >> (t - 1) & 1 and earlier >> (t + 2) & 1:
+                    v = min(v, oldest[t + 1] + 2)
+            if t > 1 and t + 1 < width and seen >> (t - 2) & 1 and before >> (t + 1) & 1:
+                v = min(v, older[t - 1] + 2)
             new.append(min(v, far))
         to = -1
         if min(new) <= n:
-            key = (tuple(new), row, seen)
+            key = (tuple(new), row, older, seen, before)
             to = self.ids.setdefault(key, len(self.ids))
             if to == len(self.states):
                 self.states.append(key)

@@ -15,6 +15,10 @@ def distance(a, b):
             d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
             if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
                 d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+            if i > 2 and j > 1 and a[i - 1] == b[j - 2] and a[i - 3] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 3][j - 2] + 2)
+            if i > 1 and j > 2 and a[i - 1] == b[j - 3] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 3] + 2)
     return d[-1][-1]
 
 
