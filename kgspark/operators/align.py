@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .similarity import overlapping
 from .text import regex_tokens
 
 EXACT, FUZZY, LESSER = "match_exact", "match_fuzzy", "match_lesser"
@@ -258,16 +259,14 @@ def block_align(source: list[str], wanted: list[str]) -> tuple[int, int, str] |
     return (m.a, m.a + m.size, EXACT) if m.size == len(wanted) else (m.a, m.a + m.size, LESSER) if m.b == 0 else None
 
 
-def without_overlaps(first: DataFrame, second: DataFrame, document: str, start: str, end: str) -> DataFrame:
+def without_overlaps(first: DataFrame, second: DataFrame, document: str, ident: str, start: str, end: str) -> DataFrame:
     """Rows of ``second`` that overlap no row of ``first`` in the same document; rows without an interval overlap none."""
-    f = first.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(F.col(document).alias("__d"), F.col(start).alias("__s"), F.col(end).alias("__e"))
-    hit = (F.col(document) == F.col("__d")) & (F.col(start) < F.col("__e")) & (F.col("__s") < F.col(end))
-    return second.join(f, hit, "left_anti")
+    return second.join(overlapping(second, first, document, ident, start, end), ident, "left_anti")
 
 
-def merge_passes(passes: list[DataFrame], document: str, start: str, end: str) -> DataFrame:
-    """Union of extraction passes in which an earlier pass wins where intervals overlap."""
+def merge_passes(passes: list[DataFrame], document: str, ident: str, start: str, end: str) -> DataFrame:
+    """Union of extraction passes in which an earlier pass wins where intervals overlap; ``ident`` is unique per row."""
     out = passes[0]
     for p in passes[1:]:
-        out = out.unionByName(without_overlaps(out, p, document, start, end))
+        out = out.unionByName(without_overlaps(out, p, document, ident, start, end))
     return out

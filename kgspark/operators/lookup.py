@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import abbreviates, initials, relation_name, strip
+from ..functions.names import initials, relation_name, strip
+from .similarity import contains_join, words_join
 
 
 def alias_table(entities: DataFrame, *, scope: Sequence[str], ident: str, text: str, attributes: str) -> DataFrame:
@@ -21,8 +22,8 @@ def find(references: DataFrame, entities: DataFrame, *, scope: Sequence[str], re
     """(ref_id, ident, tier) of each reference that names an entity of its scope.
 
     Tier 1 equal in any case, 2 equal without brackets and punctuation, 3 one contains the other, 4 two or more words
-    shared, 5 initials. The equal tiers are equi-joins; only references they leave are paired with the entities of
-    their own scope, which a scope bounds, and of each tier the least id is taken.
+    shared, 5 initials; of the best tier the least id is taken. Every tier is an equi-join: on forms, on grams, on words,
+    on initials; the looser tiers see only the references that the equal ones leave.
     """
     refs = references.select(*scope, ref_id, F.col(ref).alias("__r")).where(strip(F.col("__r")) != "")
     ents = entities.select(*scope, ident, F.col(name).alias("__n")).where(strip(F.col("__n")) != "").distinct()
@@ -31,15 +32,13 @@ def find(references: DataFrame, entities: DataFrame, *, scope: Sequence[str], re
     keyed = ents.select(*scope, ident, forms(F.col("__n"))).select(*scope, ident, "f.*").where("form <> ''").groupBy(*scope, "tier", "form").agg(F.min(ident).alias(ident))
     equal = mine.join(keyed, [*scope, "tier", "form"]).groupBy(ref_id).agg(F.min(F.struct("tier", ident)).alias("b"))
     equal = equal.select(ref_id, F.col(f"b.{ident}").alias(ident), "b.tier")
-    left = refs.join(equal.select(ref_id), ref_id, "left_anti").join(ents, list(scope))
-    r, n = relation_name(F.col("__r")), relation_name(F.col("__n"))
-    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
-    tier = (
-        F.when((F.char_length(r) >= 3) & (F.char_length(n) >= 3) & (r.contains(n) | n.contains(r)), 3)
-        .when(F.size(F.array_intersect(words(r), words(n))) >= 2, 4)
-        .when((F.upper(strip(F.col("__r"))) == initials(F.col("__n"))) & (F.char_length(strip(F.col("__r"))) >= 2), 5)
-    )
-    loose = left.select(ref_id, ident, tier.alias("tier")).where("tier IS NOT NULL").groupBy(ref_id).agg(F.min(F.struct("tier", ident)).alias("b"))
+    left = refs.join(equal.select(ref_id), ref_id, "left_anti").withColumn("__x", relation_name(F.col("__r")))
+    ents = ents.withColumn("__y", relation_name(F.col("__n")))
+    short = F.char_length("__x") >= 3
+    inside = contains_join(left.where(short), ents.where(F.char_length("__y") >= 3), scope, "__x", "__y").select(ref_id, ident, F.lit(3).alias("tier"))
+    shared = words_join(left, ents, scope, "__x", "__y", 2).select(ref_id, ident, F.lit(4).alias("tier"))
+    by_initials = left.withColumn("__i", F.upper(strip(F.col("__r")))).where(F.char_length("__i") >= 2).join(ents.withColumn("__i", initials(F.col("__n"))), [*scope, "__i"]).select(ref_id, ident, F.lit(5).alias("tier"))
+    loose = inside.unionByName(shared).unionByName(by_initials).groupBy(ref_id).agg(F.min(F.struct("tier", ident)).alias("b"))
     return equal.unionByName(loose.select(ref_id, F.col(f"b.{ident}").alias(ident), "b.tier"))
 
 
@@ -60,7 +59,8 @@ def dangling(references: DataFrame, targets: DataFrame, scope: Sequence[str], re
     r = references.where(strip(F.col(ref)) != "").withColumn("__r", F.lower(strip(F.col(ref))))
     t = targets.select(*scope, F.lower(strip(F.col(key))).alias("__t")).where("__t <> ''").distinct()
     left = r.join(t.withColumnRenamed("__t", "__r"), [*scope, "__r"], "left_anti")
-    return left.join(t, [left[s] == t[s] for s in scope] + [F.col("__r").contains(F.col("__t")) | F.col("__t").contains(F.col("__r"))], "left_anti").drop("__r")
+    near = contains_join(left.select(*scope, "__r").distinct(), t, scope, "__r", "__t").select(*scope, "__r").distinct()
+    return left.join(near, [*scope, "__r"], "left_anti").drop("__r")
 
 
 def answered(parents: DataFrame, children: DataFrame, scope: Sequence[str], parent_keys: Sequence[str], ref: str) -> DataFrame:
@@ -86,10 +86,8 @@ def rewrite(references: DataFrame, aliases: DataFrame, scope: Sequence[str], ref
     return r.join(a, [*scope, "__a"], "left").withColumn(ref, F.coalesce("canonical", ref)).drop("__a", "canonical")
 
 
-def word_overlap(a: Column, b: Column, least: int = 2) -> Column:
-    """One name contains the other, or they share words."""
-    x, y = relation_name(a), relation_name(b)
-    return x.contains(y) | y.contains(x) | (F.size(F.array_intersect(F.split(x, " "), F.split(y, " "))) >= least)
-
-
-__all__ = ["abbreviates", "alias_table", "answered", "dangling", "detect", "find", "missing_targets", "rewrite", "word_overlap"]
+def overlapping_names(left: DataFrame, right: DataFrame, scope: Sequence[str], ident: str, a: str, b: str, least: int = 2) -> DataFrame:
+    """(ident) of the left rows whose name contains, lies in, or shares ``least`` words with a name of the right."""
+    x = left.select(*scope, ident, relation_name(F.col(a)).alias("__x")).where("__x <> ''").distinct()
+    y = right.select(*scope, relation_name(F.col(b)).alias("__y")).where("__y <> ''").distinct()
+    return contains_join(x, y, scope, "__x", "__y").select(ident).unionByName(words_join(x, y, scope, "__x", "__y", least).select(ident)).distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import values as V
-from ..operators import dedup, extract
+from ..operators import dedup, extract, similarity
 from ..session import table
 from . import query
 from . import sqltext as S
@@ -39,24 +39,23 @@ def identity_keys(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "indicators").select("indicator_id", N.identity_key(F.col("abbreviation"), F.col("standard_name")).alias("identity"))
 
 
-_INDICATOR_NAMES = f"n AS (SELECT DISTINCT document_id, {S.coref_name('standard_name')} AS n FROM indicators WHERE {S.coref_name('standard_name')} <> '')"
+_NAMES = f"n AS (SELECT DISTINCT document_id, {S.coref_name('standard_name')} AS n FROM alternatives WHERE {S.coref_name('standard_name')} <> '')"
 
 
-def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    n = table(spark, sf, "indicators").select("document_id", N.coref_name(F.col("standard_name")).alias("n")).where("n <> ''").distinct()
-    return n.withColumnRenamed("n", "a").join(n.withColumnRenamed("n", "b"), "document_id").where("a < b")
+def _names(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "alternatives").select("document_id", N.coref_name(F.col("standard_name")).alias("name"))
 
 
-@query(f"WITH {_INDICATOR_NAMES} SELECT x.document_id, x.n AS a, y.n AS b FROM n x JOIN n y ON x.document_id = y.document_id AND x.n < y.n WHERE abs(length(x.n) - length(y.n)) <= 4 AND levenshtein(x.n, y.n) <= 2")
+@query(f"WITH {_NAMES} SELECT x.document_id, x.n AS a, y.n AS b FROM n x JOIN n y ON x.document_id = y.document_id AND x.n < y.n WHERE abs(length(x.n) - length(y.n)) <= 4 AND levenshtein(x.n, y.n) <= 2")
 def levenshtein_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Names of one document within two edits."""
-    return _pairs(spark, sf).where(N.fuzzy_equal(F.col("a"), F.col("b"), 2))
+    return similarity.near_pairs(_names(spark, sf), ["document_id"], "name", 2)
 
 
-@query(f"WITH {_INDICATOR_NAMES} SELECT x.document_id, x.n AS a, y.n AS b FROM n x JOIN n y ON x.document_id = y.document_id AND x.n < y.n WHERE (contains(x.n, y.n) OR contains(y.n, x.n)) AND least(length(x.n), length(y.n)) / greatest(length(x.n), length(y.n)) >= 0.6")
+@query(f"WITH {_NAMES} SELECT x.document_id, x.n AS a, y.n AS b FROM n x JOIN n y ON x.document_id = y.document_id AND x.n < y.n WHERE (contains(x.n, y.n) OR contains(y.n, x.n)) AND least(length(x.n), length(y.n)) / greatest(length(x.n), length(y.n)) >= 0.6")
 def contained_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Names of one document of which one lies in the other."""
-    return _pairs(spark, sf).where(N.contained(F.col("a"), F.col("b")))
+    return similarity.contained_pairs(_names(spark, sf), ["document_id"], "name", 0.6)
 
 
 @query()

@@ -146,9 +146,7 @@ def missing_indicators(spark: SparkSession, sf: str) -> DataFrame:
 WHERE x <> '' AND y <> '' AND (contains(x, y) OR contains(y, x) OR len(list_intersect(string_split(x, ' '), string_split(y, ' '))) >= 2)""")
 def overlapping_targets(spark: SparkSession, sf: str) -> DataFrame:
     """Interventions whose target shares its words with a substance of the document."""
-    i, a = table(spark, sf, "interventions").select("document_id", "intervention_id", "intervention_target"), table(spark, sf, "alternatives").select("document_id", "standard_name").distinct()
-    some = lambda c: N.relation_name(F.col(c)) != ""
-    return i.where(some("intervention_target")).join(a.where(some("standard_name")), "document_id").where(lookup.word_overlap(F.col("intervention_target"), F.col("standard_name"))).select("intervention_id").distinct()
+    return lookup.overlapping_names(table(spark, sf, "interventions"), table(spark, sf, "alternatives"), ["document_id"], "intervention_id", "intervention_target", "standard_name")
 
 
 @query(f"""SELECT document_id, count(*) AS n_orphans FROM (SELECT DISTINCT document_id, result_id, indicator_abbreviation FROM results WHERE {S.strip('indicator_abbreviation')} <> '') r

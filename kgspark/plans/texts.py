@@ -125,7 +125,7 @@ def merged_passes(spark: SparkSession, sf: str) -> DataFrame:
     """Union of two passes: rows of the second that overlap one of the first are left out."""
     i = table(spark, sf, "indicators").select("indicator_id", "document_id", (F.col("indicator_id") % 50).alias("s"))
     i = i.join(table(spark, sf, "indicators").select("indicator_id", (F.coalesce(F.char_length("abbreviation"), F.lit(0)) + 2).alias("n")), "indicator_id").withColumn("e", F.col("s") + F.col("n"))
-    return align.merge_passes([i.where("indicator_id % 2 = 0"), i.where("indicator_id % 2 <> 0")], "document_id", "s", "e").select("indicator_id")
+    return align.merge_passes([i.where("indicator_id % 2 = 0"), i.where("indicator_id % 2 <> 0")], "document_id", "indicator_id", "s", "e").select("indicator_id")
 
 
 @query("SELECT DISTINCT result_id, indicator_abbreviation AS mention, direction, relation_type FROM results WHERE indicator_abbreviation IS NOT NULL")

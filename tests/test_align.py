@@ -67,7 +67,7 @@ def test_lcs_and_blocks():
 
 def test_passes(spark):
     f = lambda rows: spark.createDataFrame(rows, "d string, i int, s int, e int")
-    out = A.merge_passes([f([("a", 1, 0, 6), ("a", 2, 15, 25)]), f([("a", 3, 0, 6), ("a", 4, 50, 58), ("a", 5, 10, 20), ("a", 6, None, None), ("b", 7, 0, 6)])], "d", "s", "e")
+    out = A.merge_passes([f([("a", 1, 0, 6), ("a", 2, 15, 25)]), f([("a", 3, 0, 6), ("a", 4, 50, 58), ("a", 5, 10, 20), ("a", 6, None, None), ("b", 7, 0, 6)])], "d", "i", "s", "e")
     assert sorted(r["i"] for r in out.collect()) == [1, 2, 4, 6, 7]
 
 
