@@ -116,14 +116,15 @@ Extractor = Callable[[list[str]], list[str]]
 
 
 class DictionaryExtractor:
-    """An offline extractor: finds listed names in a prompt and answers as a model would."""
+    """An offline extractor: finds listed names in a prompt's text (behind ``mark``, if it has one) and answers as a model would."""
 
-    def __init__(self, names: dict[str, Sequence[str]]) -> None:
+    def __init__(self, names: dict[str, Sequence[str]], mark: str = "\n\nText:\n") -> None:
+        self.mark = mark
         self.names = {c: sorted(n, key=len, reverse=True) for c, n in names.items()}
 
     def __call__(self, prompts: list[str]) -> list[str]:
         find = {c: re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, n)) + r")(?!\w)", re.I) for c, n in self.names.items() if n}
-        return [json.dumps({"extractions": [{c: m.group()} for c, r in find.items() for m in r.finditer(p)]}, ensure_ascii=False) for p in prompts]
+        return [json.dumps({"extractions": [{c: m.group()} for c, r in find.items() for m in r.finditer(p.rpartition(self.mark)[2])]}, ensure_ascii=False) for p in prompts]
 
 
 def extract(prompts: DataFrame, keep: list[str], prompt: str, make: Callable[[], Extractor], batch: int = 32, retries: int = 3) -> DataFrame:
