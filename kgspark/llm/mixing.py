@@ -108,8 +108,7 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str, size: str, source: str
     cells = checkpointed(base.where("tokens > 0").groupBy("source", *labels).agg(F.sum("tokens").alias("tokens")))
     have = cells.groupBy("source").agg(F.sum("tokens").alias("have")).join(F.broadcast(t), "source").where("share > 0 AND cap > 0")
     most = have.agg(F.min(F.col("cap") * F.col("have") / F.col("share")).alias("m")).first()["m"]
-    mass = min(x for x in (total, most) if x is not None) if most is not None else 0.0
-    mass = total if total is not None and most is not None else mass
+    mass = 0.0 if most is None else most if total is None else total
     sources = t.select("source", (F.col("share") * F.lit(float(mass))).alias("target"), F.col("cap").cast("double").alias("cap"))
     weights = rake(cells, sources, labels).select("source", *labels, "weight")
     weighed = lookup_join(base.where("tokens > 0"), weights, ["source", *labels], "inner")
