@@ -126,7 +126,7 @@ def _capacity(spark: SparkSession, sf: str) -> int:
 
 def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
     """Training sequence and place of every document or part of one."""
-    docs = with_token_counts(table(spark, sf, "documents"), "text", ["doc_id"])
+    docs = _sized(spark, sf, ["doc_id"])
     return pack(docs, key="doc_id", size="n_tokens", capacity=_capacity(spark, sf))
 
 
