@@ -96,16 +96,10 @@ def skeleton(text: str) -> str:
     return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(TABLE)))
 
 
-def leading_script(skel: str) -> str:
-    """The script of most letters of a text that can't be of another; Latin if there are none."""
-    if not _FOREIGN.search(skel):
-        return "L"
-    n = Counter({"C": 0, "G": 0, "L": 0})
-    for ch, k in Counter(skel).items():
-        base = unicodedata.normalize("NFD", ch)[0]
-        if base not in LATTICE and (s := script(base)):
-            n[s] += k
-    return max("LCG", key=lambda s: n[s]) if any(n.values()) else "L"
+def sure_letters(skel: str) -> tuple[int, int, int]:
+    """How many letters are surely Latin, Cyrillic and Greek: those that can't be of another script."""
+    n = Counter(s for ch in skel if (base := ch if ch.isascii() else unicodedata.normalize("NFD", ch)[0]) not in LATTICE and (s := script(base)))
+    return n["L"], n["C"], n["G"]
 
 
 def viterbi(word: str, home: str, scores: Mapping[str, float], switch: float = 6.0, abroad: float = 6.0) -> str:
@@ -142,20 +136,40 @@ def viterbi(word: str, home: str, scores: Mapping[str, float], switch: float = 6
 
 
 def consistent(text: str, scores: Mapping[str, float], memo: dict) -> str:
-    """The consistent form of a text: its printed form with every word read as the most likely letters."""
-    skel = skeleton(text)
-    home = leading_script(skel)
+    """The consistent form of a text: its printed form with every word read as the most likely letters.
+
+    Nothing reaches across an ordinary blank, neither composition nor a word, so the text is read piece by piece and
+    ``memo`` remembers each piece under the text's leading script.
+    """
+    pieces = text.split(" ")
+    home = "L"
+    if _FOREIGN.search(text):
+        counts, n = memo.setdefault("sure", {}), [0, 0, 0]
+        for p in pieces:
+            c = counts.get(p)
+            if c is None:
+                c = counts[p] = sure_letters(skeleton(p))
+            n = [n[0] + c[0], n[1] + c[1], n[2] + c[2]]
+        home = "LCG"[n.index(max(n))]
+    known, words = memo.setdefault(home, {}), memo.setdefault(f"words {home}", {})
+    for m in memo.values():
+        if len(m) > 500_000:
+            m.clear()
 
     def read(m: re.Match) -> str:
         w = m.group()
-        got = memo.get((home, w))
+        got = words.get(w)
         if got is None:
-            if len(memo) > 500_000:
-                memo.clear()
-            got = memo[home, w] = viterbi(w, home, scores)
+            got = words[w] = viterbi(w, home, scores)
         return got
 
-    return _WORD.sub(read, skel)
+    out = []
+    for p in pieces:
+        form = known.get(p)
+        if form is None:
+            form = known[p] = _WORD.sub(read, skeleton(p))
+        out.append(form)
+    return " ".join(out)
 
 
 def bigram_scores(docs: DataFrame, text: str) -> dict[str, float]:
@@ -168,15 +182,14 @@ def bigram_scores(docs: DataFrame, text: str) -> dict[str, float]:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
-        words: Counter = Counter()
+        pieces: Counter = Counter()
         for pdf in batches:
             for t in pdf["t"]:
-                if t:
-                    words.update(_WORD.findall(unicodedata.normalize("NFC", t)))
-            if len(words) > 200_000:
-                _add(words, total)
-                words = Counter()
-        _add(words, total)
+                pieces.update(t.split(" "))
+            if len(pieces) > 200_000:
+                _add(pieces, total)
+                pieces = Counter()
+        _add(pieces, total)
         yield pd.DataFrame({"g": list(total), "n": list(total.values())}).astype({"g": "object", "n": "int64"})
 
     rows = docs.select(F.col(text).alias("t")).where("t IS NOT NULL").mapInPandas(count, "g string, n long").groupBy("g").agg(F.sum("n").alias("n")).collect()
@@ -188,12 +201,15 @@ def bigram_scores(docs: DataFrame, text: str) -> dict[str, float]:
     return out
 
 
-def _add(words: Counter, total: Counter) -> None:
+def _add(pieces: Counter, total: Counter) -> None:
+    words: Counter = Counter()
+    for p, k in pieces.items():
+        for w in _WORD.findall(unicodedata.normalize("NFC", p)):
+            words[w] += k
     for w, k in words.items():
         bases = [unicodedata.normalize("NFD", c)[0] for c in w]
         kinds = {script(b) for b in bases}
-        foreign = {b for b in bases if b in CYRILLIC or b in GREEK or b in LATTICE}
-        if len(kinds) == 1 and "" not in kinds and any(b not in foreign for b in bases):
+        if len(kinds) == 1 and "" not in kinds and any(b not in CYRILLIC and b not in GREEK and b not in LATTICE for b in bases):
             for i in range(len(w) - 1):
                 total[w[i : i + 2]] += k
 
