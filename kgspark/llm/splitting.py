@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,9 +11,24 @@ from pyspark.sql import functions as F
 
 PARAGRAPH, SENTENCE, WORD, MARK, FORCED = 0, 1, 2, 3, 4
 CUTS = ("paragraph", "sentence", "word", "mark", "forced", "end")
-_SPACE = re.compile(r"\s+")
-_MARK = re.compile(r"[.!?。！？]+")
+_MARKS = ".!?。！？"
 _CLOSERS = "\"'”’)]）】»"
+_TOP = 0xFF20
+
+
+def _members(test) -> np.ndarray:
+    """A table of the code points below _TOP that pass a test; all others fail it."""
+    return np.array([test(chr(c)) for c in range(_TOP)] + [False])
+
+
+_SPACE, _MARK = _members(str.isspace), _members(lambda c: c in _MARKS)
+_WIDE, _CLOSER = _members(lambda c: c in "。！？"), _members(lambda c: c in _CLOSERS)
+
+
+def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true values."""
+    edges = np.diff(np.concatenate([[0], mask.view(np.int8), [0]]))
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
 def boundaries(text: str, step: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -24,35 +38,33 @@ def boundaries(text: str, step: int) -> tuple[np.ndarray, np.ndarray, int]:
     their wide forms; else word) and after such a mark itself. A stretch longer than ``step`` gets forced boundaries
     every ``step`` characters.
     """
-    at: dict[int, int] = {}
-    breaks: list[tuple[int, int]] = []
-    for m in _MARK.finditer(text):
-        e = m.end()
-        at[e] = SENTENCE if text[e - 1] in "。！？" else MARK
-        breaks.append(m.span())
-    for m in _SPACE.finditer(text):
-        b, e = m.span()
-        if m.group().count("\n") >= 2 or " " in m.group():
-            kind = PARAGRAPH
-        else:
-            before = text[:b][-1:] if b else ""
-            before = text[b - 2 : b - 1] if before and before in _CLOSERS else before
-            kind = SENTENCE if before and before in ".!?。！？" else WORD
-        at[e] = kind
-        breaks.append((b, e))
-    breaks.sort()
-    last, longest = 0, 0
-    for b, e in [*breaks, (len(text), len(text))]:
-        if b - last > longest:
-            longest = b - last
-        if e - last > step:  # to the boundary itself: it lies behind the white space
-            for p in range(last + step, e, step):
-                at[p] = FORCED
-        last = max(last, e)
-    at.pop(0, None)
-    at[len(text)] = PARAGRAPH
-    pos = np.array(sorted(at), dtype=np.int64)
-    return pos, np.array([at[p] for p in pos], dtype=np.int8), longest
+    n = len(text)
+    full = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    code = np.minimum(full, _TOP)
+    space, mark = _SPACE[code], _MARK[code]
+    b, e = _runs(space)
+    mb, me = _runs(mark)
+    lines = np.concatenate([[0], np.cumsum(code == 10) + 2 * np.cumsum(code == 0x2029)])
+    before = np.maximum(b - 1, 0)
+    before = np.where(_CLOSER[code[before]] & (b > 1), before - 1, before)
+    kind = np.where(lines[e] - lines[b] >= 2, PARAGRAPH, np.where(mark[before] & (b > 0), SENTENCE, WORD))
+    pos = np.concatenate([me, e])
+    kinds = np.concatenate([np.where(_WIDE[code[me - 1]], SENTENCE, MARK), kind])
+    starts = np.concatenate([mb, b])
+    order = np.argsort(pos, kind="stable")
+    pos, kinds, starts = pos[order], kinds[order], starts[order]
+    ends, opens = np.concatenate([[0], pos]), np.concatenate([starts, [n]])
+    longest = int(np.max(opens - ends))
+    stops = np.concatenate([pos, [n]])
+    wide = np.flatnonzero(stops - ends > step)  # to the boundary itself: it lies behind the white space
+    if len(wide):
+        more = np.concatenate([np.arange(ends[i] + step, stops[i], step) for i in wide])
+        pos, kinds = np.concatenate([pos, more]), np.concatenate([kinds, np.full(len(more), FORCED)])
+        order = np.argsort(pos, kind="stable")
+        pos, kinds = pos[order], kinds[order]
+    inside = pos < n
+    pos, kinds = np.concatenate([pos[inside], [n]]), np.concatenate([kinds[inside], [PARAGRAPH]])
+    return pos.astype(np.int64), kinds.astype(np.int8), longest
 
 
 def successors(pos: np.ndarray, kind: np.ndarray, start: np.ndarray, limit: int) -> np.ndarray:
