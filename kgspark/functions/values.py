@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from .names import strip
 
-# Words kept small inside a title.
-SMALL_WORDS = ("a", "an", "and", "as", "at", "by", "for", "from", "in", "of", "on", "or", "the", "to", "with")
 # A short first word in lower case is a fragment unless it is one of these.
 SENTENCE_STARTS = (
     "the", "a", "an", "in", "on", "at", "to", "of", "for", "with", "from", "by", "as", "is", "was", "were", "are", "this", "that", "these", "those", "it", "we", "they", "no", "not", "our", "their",
@@ -35,6 +33,16 @@ RELATIONS = {
     "attenuates": "decreases", "modulates": "affects", "regulates": "affects", "alters": "affects", "impairs": "decreases", "improves": "increases", "ameliorates": "increases",
     "augments": "increases", "diminishes": "decreases",
 }
+# Other words for control groups and methods.
+CONTROLS = {
+    "con": "Control group", "con.": "Control group", "ctr": "Control group", "ctrl": "Control group", "control": "Control group", "control group": "Control group", "control diet": "Basal diet",
+    "nc": "Negative control", "n.c.": "Negative control", "pc": "Positive control", "p.c.": "Positive control", "ab": "Antibiotic group", "abx": "Antibiotic group", "anti": "Antibiotic group",
+    "antibiotic": "Antibiotic group", "antibiotic group": "Antibiotic group", "pbs": "PBS", "saline": "Saline",
+}
+METHODS = {
+    "elisa": "ELISA", "elisa assay": "ELISA assay", "elisa kit": "ELISA kit", "elisa test": "ELISA test", "pcr": "PCR", "rt-pcr": "RT-PCR", "qpcr": "qPCR", "rt-qpcr": "RT-qPCR", "western blot": "Western blot",
+    "western blotting": "Western blotting", "sds-page": "SDS-PAGE", "nmr": "NMR", "gc-ms": "GC-MS", "lc-ms": "LC-MS", "hplc": "HPLC", "icp-oes": "ICP-OES", "icp-ms": "ICP-MS",
+}
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -55,42 +63,6 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(t, r"^[(\[]([^()\[\]]*)[)\]]$", "$1")
 
 
-def title_case(text: Column) -> Column:
-    """Each word's first letter in upper case, small words inside left small; words with inner capitals are kept."""
-    def word(w: Column, i: Column) -> Column:
-        small = (i > 0) & F.lower(w).isin(*SMALL_WORDS)
-        mixed = w.substr(F.lit(2), F.char_length(w)).rlike(r"\p{Lu}")
-        return F.when(small, F.lower(w)).when(mixed, w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(w.substr(F.lit(2), F.char_length(w)))))
-    return F.array_join(F.transform(F.split(text, " "), word), " ")
-
-
-def binomial_case(text: Column) -> Column:
-    """'Genus species': the first word capitalised, the second in lower case, strain names kept."""
-    def word(w: Column, i: Column) -> Column:
-        low = F.lower(w)
-        return F.when(i == 0, F.concat(F.upper(F.substring(w, 1, 1)), F.substring(low, 2, 1000))).when(i == 1, low).otherwise(w)
-    return F.array_join(F.transform(F.split(text, " "), word), " ")
-
-
-def case_rule(name: Column, genera: Sequence[str] = ()) -> Column:
-    """preserve (short capitals, digits beside letters, inner capitals), binomial (genus, or Latin pair), title, lowercase."""
-    t = strip(name)
-    first = F.lower(F.split(t, " ")[0])
-    return (
-        F.when(t.rlike(r"^[A-Z0-9][A-Z0-9\-]{0,7}$"), "preserve")
-        .when(first.isin(*genera) if genera else F.lit(False), "binomial")
-        .when(t.rlike(r"^[A-Z][a-z]+ [a-z]{3,}$"), "binomial")
-        .when(t.rlike(r"\p{Ll}\p{Lu}"), "preserve")
-        .when(F.size(F.split(t, " ")) > 1, "title")
-        .otherwise("lowercase")
-    )
-
-
-def apply_case(name: Column, genera: Sequence[str] = ()) -> Column:
-    rule = case_rule(name, genera)
-    return F.when(rule == "preserve", name).when(rule == "binomial", binomial_case(name)).when(rule == "title", title_case(name)).otherwise(F.lower(name))
-
-
 def number(text: Column) -> Column:
     """The text as a double if it is one; guarded by a pattern, as casts accept endings like '1d'."""
     return F.when(strip(text).rlike(_NUMBER), strip(text).try_cast("double"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import casing as C
 from ..functions import names as N
 from ..functions import values as V
 from ..operators import dedup, extract, similarity
@@ -96,20 +97,33 @@ def composed_texts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", V.nfc(F.col("text")).alias("text"))
 
 
-_RULE = r"""CASE WHEN regexp_matches(t, '^[A-Z0-9][A-Z0-9\-]{0,7}$') THEN 'preserve' WHEN regexp_matches(t, '^[A-Z][a-z]+ [a-z]{3,}$') THEN 'binomial'
- WHEN regexp_matches(t, '\p{Ll}\p{Lu}') THEN 'preserve' WHEN contains(t, ' ') THEN 'title' ELSE 'lowercase' END"""
-_TITLE = """array_to_string(list_transform(string_split(t, ' '), lambda w, i: CASE
- WHEN i > 1 AND lower(w) IN ('a','an','and','as','at','by','for','from','in','of','on','or','the','to','with') THEN lower(w)
- WHEN regexp_matches(substr(w, 2), '\\p{Lu}') THEN w ELSE upper(substr(w, 1, 1)) || lower(substr(w, 2)) END), ' ')"""
-_BINOMIAL = "array_to_string(list_transform(string_split(t, ' '), lambda w, i: CASE WHEN i = 1 THEN upper(substr(w, 1, 1)) || substr(lower(w), 2) WHEN i = 2 THEN lower(w) ELSE w END), ' ')"
+def _any(x: str, values: tuple[str, ...]) -> str:
+    return f"{x} IN ({', '.join(repr(v) for v in values)})"
 
 
-@query(f"""SELECT DISTINCT t AS name, r AS rule, CASE r WHEN 'preserve' THEN t WHEN 'binomial' THEN {_BINOMIAL} WHEN 'title' THEN {_TITLE} ELSE lower(t) END AS cased
-FROM (SELECT t, {_RULE} AS r FROM (SELECT {S.strip('standard_name')} AS t FROM alternatives WHERE standard_name IS NOT NULL))""")
+_LIST = r"regexp_split_to_array(t, '\s+')"
+_CAPITAL = "upper(substr(w, 1, 1)) || lower(substr(w, 2))"
+_RULE = f"""CASE WHEN regexp_matches(t, '{"|".join(C.KEPT)}') THEN 'preserve' WHEN {_any('upper(t)', C.ACRONYMS)} AND length(t) <= 6 THEN 'preserve'
+ WHEN l LIKE '% acid' AND NOT {_any('l', C.AMINO_ACIDS)} AND l NOT LIKE '%nucleic%' AND l NOT LIKE '%fatty%' THEN 'lowercase' WHEN (l LIKE '%ase' OR l LIKE '%zyme') AND length(t) > 5 THEN 'lowercase'
+ WHEN regexp_matches(t, '^[A-Za-z]\\. [a-z]') THEN 'preserve' WHEN regexp_matches(l, '^({"|".join(C.SIGNALS)})') THEN 'lowercase' WHEN {_any('l', (*C.MEASURES, *C.COMPOUNDS))} THEN 'lowercase'
+ WHEN {_any('l', (*C.AMINO_ACIDS, *C.MINERALS, *C.SITES))} THEN 'title' WHEN l LIKE 'vitamin %' OR {_any('l', C.VITAMINS)} THEN 'vitamin' WHEN len({_LIST}) = 2 THEN 'binomial'
+ WHEN t = l AND regexp_matches(t, '\\p{{Ll}}') AND (contains(t, ' ') OR length(t) > 2) THEN 'title' ELSE 'preserve' END"""
+_TITLE = f"""array_to_string(list_transform({_LIST}, lambda w, i: CASE WHEN i > 1 AND {_any('lower(w)', C.SMALL_WORDS)} THEN lower(w)
+ WHEN i > 1 AND w = upper(w) AND regexp_matches(w, '\\p{{Lu}}') AND length(w) <= 3 THEN w ELSE {_CAPITAL} END), ' ')"""
+_BINOMIAL = f"array_to_string(list_transform({_LIST}, lambda w, i: CASE WHEN i = 1 THEN {_CAPITAL} WHEN i = 2 THEN lower(w) ELSE w END), ' ')"
+_GREEK = "CASE l " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in C.GREEK_FORMS.items()) + " END"
+
+
+@query(f"""SELECT t AS name, r AS rule, CASE r WHEN 'lowercase' THEN l WHEN 'title' THEN {_TITLE} WHEN 'binomial' THEN {_BINOMIAL} WHEN 'vitamin' THEN coalesce({_GREEK}, CASE WHEN l LIKE 'vitamin %' THEN 'Vitamin ' || upper({S.strip('substr(l, 9)')}) ELSE {_TITLE} END) ELSE t END AS cased
+FROM (SELECT t, l, {_RULE} AS r FROM (SELECT t, lower(t) AS l FROM (SELECT DISTINCT {S.strip('n')} AS t FROM (SELECT standard_name AS n FROM alternatives UNION ALL SELECT site_name FROM tissue_sites UNION ALL SELECT abbreviation FROM indicators UNION ALL SELECT standard_name FROM indicators) WHERE n IS NOT NULL)))""")
 def case_rules(spark: SparkSession, sf: str) -> DataFrame:
     """The case rule of each name, and the name by that rule."""
-    n = table(spark, sf, "alternatives").select(N.strip(F.col("standard_name")).alias("name")).where("name IS NOT NULL").distinct()
-    return n.select("name", V.case_rule(F.col("name")).alias("rule"), V.apply_case(F.col("name")).alias("cased"))
+    n = None
+    for t, c in (("alternatives", "standard_name"), ("tissue_sites", "site_name"), ("indicators", "abbreviation"), ("indicators", "standard_name")):
+        part = table(spark, sf, t).select(N.strip(F.col(c)).alias("name"))
+        n = part if n is None else n.unionByName(part)
+    n = n.where("name IS NOT NULL").distinct()
+    return n.select("name", C.case_rule(F.col("name")).alias("rule"), C.apply_case(F.col("name")).alias("cased"))
 
 
 _P = r"""(SELECT raw, regexp_replace(regexp_replace(s, '^[pP]?\s*[<>=≈]*\s*', ''), '\*+$|\s*\(.*\)$', '', 'g') AS bare, s FROM (SELECT raw, {s} AS s FROM
@@ -134,6 +148,12 @@ def value_maps(spark: SparkSession, sf: str) -> DataFrame:
     return r.groupBy(V.mapped(F.col("direction"), V.DIRECTIONS).alias("direction"), V.mapped(F.col("relation_type"), V.RELATIONS).alias("relation_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"SELECT {_case('compared_to_group', V.CONTROLS)} AS control, count(*) AS n FROM results GROUP BY 1")
+def control_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Results by control group after mapping other words for it."""
+    return table(spark, sf, "results").groupBy(V.mapped(F.col("compared_to_group"), V.CONTROLS).alias("control")).agg(F.count(F.lit(1)).alias("n"))
+
+
 _STARTS = ", ".join(f"'{w}'" for w in V.SENTENCE_STARTS)
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from kgspark.functions import casing as C
 from kgspark.functions import names as N
 from kgspark.functions import values as V
 
@@ -56,6 +57,15 @@ def test_normal_forms_are_idempotent(spark):
         assert df.where(~f(f(F.col("c"))).eqNullSafe(f(F.col("c")))).count() == 0
 
 
+def test_case(spark):
+    for raw, rule, want in (
+        ("TLR4", "preserve", "TLR4"), ("p38", "preserve", "p38"), ("25(OH)D3", "preserve", "25(OH)D3"), ("adg", "preserve", "adg"), ("Butyric Acid", "lowercase", "butyric acid"), ("aspartic acid", "title", "Aspartic Acid"),
+        ("Xylanase", "lowercase", "xylanase"), ("B. hominis", "preserve", "B. hominis"), ("Interleukin 6", "lowercase", "interleukin 6"), ("Zinc Oxide", "lowercase", "zinc oxide"), ("ZINC", "preserve", "ZINC"), ("zinc", "title", "Zinc"),
+        ("vitamin e", "vitamin", "Vitamin E"), ("beta-carotene", "vitamin", "β-carotene"), ("bacillus Subtilis", "binomial", "Bacillus subtilis"), ("extract of green tea", "title", "Extract of Green Tea"), ("Green Tea Extract", "preserve", "Green Tea Extract"),
+    ):
+        assert (one(spark, C.case_rule, raw), one(spark, C.apply_case, raw)) == (rule, want), raw
+
+
 def test_quality(spark):
     assert one(spark, N.name_quality, "thymol") == 100 and one(spark, N.name_quality, "") == 0
     assert one(spark, N.name_quality, "12") == 40
