@@ -33,6 +33,23 @@ def evidence_tier(text: Column, evidence: Column, document: Column, least: float
     return F.when((t != "") & e.contains(t), 1).when((t != "") & d.contains(t), 2).when((bare != "") & (e.contains(bare) | d.contains(bare)), 3).when((F.size(words) > 0) & (found / F.size(words) >= least), 4)
 
 
+def verify(rows: DataFrame, documents: DataFrame, *, document: str, ident: str, text: str, evidence: str, body: str) -> DataFrame:
+    """(ident, tier): ``evidence_tier`` for every row against its document.
+
+    What the evidence decides needs no document; the rest asks once per document and distinct mention, so a body is
+    folded once and joined to few mentions, not to every row.
+    """
+    mine = rows.select(ident, document, F.col(text).alias("__t"), F.col(evidence).alias("__e"))
+    here = mine.withColumn("__tier", evidence_tier(F.col("__t"), F.col("__e"), F.lit(None).cast("string")))
+    asked = here.where(F.coalesce("__tier", F.lit(9)) > 1).select(document, "__t").where("__t IS NOT NULL").distinct()
+    bodies = documents.select(document, F.lower(body).alias("__b"))
+    t = F.lower(strip(F.col("__t")))
+    bare = strip(F.regexp_replace(t, r"(?U)\s*\([^)]*\)", ""))
+    there = asked.join(bodies, document).select(document, "__t", F.when((t != "") & F.col("__b").contains(t), 2).when((bare != "") & F.col("__b").contains(bare), 3).alias("__there"))
+    out = here.join(there.where("__there IS NOT NULL"), [document, "__t"], "left")
+    return out.select(ident, F.when(F.col("__tier") == 1, 1).otherwise(F.least("__tier", "__there")).alias("tier"))
+
+
 def real_parts(whole: Column, parts: Column) -> Column:
     """The components that aren't blank and aren't the product itself."""
     return F.filter(parts, lambda p: (strip(p) != "") & (F.lower(strip(p)) != F.lower(strip(whole))))

@@ -45,9 +45,8 @@ FROM (SELECT result_id, t, e, d, {S.strip(r"regexp_replace(t, '\s*\([^)]*\)', ''
  FROM (SELECT result_id, {_X} AS t, {_E} AS e, {_D} AS d FROM results LEFT JOIN articles USING (document_id) WHERE tissue_site IS NOT NULL))""")
 def evidence_tiers(spark: SparkSession, sf: str) -> DataFrame:
     """How far a result's site is borne out by its evidence or its article."""
-    r = table(spark, sf, "results").where("tissue_site IS NOT NULL").select("document_id", "result_id", "tissue_site", "evidence_text")
-    a = table(spark, sf, "articles").select("document_id", "body_text")
-    return r.join(a, "document_id", "left").select("result_id", validate.evidence_tier(F.col("tissue_site"), F.col("evidence_text"), F.col("body_text")).alias("tier")).distinct()
+    r = table(spark, sf, "results").where("tissue_site IS NOT NULL")
+    return validate.verify(r, table(spark, sf, "articles"), document="document_id", ident="result_id", text="tissue_site", evidence="evidence_text", body="body_text").distinct()
 
 
 _PARTS = f"list_filter(string_split(standard_name, ','), lambda p: {S.strip('p')} <> '' AND lower({S.strip('p')}) <> lower({S.strip('standard_name')}))"
