@@ -108,6 +108,20 @@ def chunks(text: str, tokens: Sequence[Token], limit: int) -> Iterator[tuple[int
         yield held
 
 
+def slice_text(text: str, tokens: Sequence[Token], start: int, end: int) -> str:
+    """The text from token ``start`` to before token ``end``; '' for an empty range, ValueError outside the tokens."""
+    if not 0 <= start <= end <= len(tokens):
+        raise ValueError(f"tokens {start} to {end} of {len(tokens)}")
+    return text[tokens[start][1] : tokens[end - 1][2]] if start < end else ""
+
+
+def char_range(tokens: Sequence[Token], start: int, end: int) -> tuple[int, int]:
+    """The character range of a range of tokens; ValueError if it is empty or outside the tokens."""
+    if not 0 <= start < end <= len(tokens):
+        raise ValueError(f"tokens {start} to {end} of {len(tokens)}")
+    return tokens[start][1], tokens[end - 1][2]
+
+
 def _mapped(df: DataFrame, keep: list[str], text: str, schema: str, rows_of: Callable[[str], list[tuple]]) -> DataFrame:
     """One output row per tuple that ``rows_of`` makes of a text, with the kept columns; nulls and blanks give none."""
     kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)

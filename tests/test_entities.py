@@ -165,3 +165,14 @@ def test_registry():
     schema = reg.json_schema()
     assert schema["properties"]["extractions"]["items"]["anyOf"][0]["properties"]["A_attributes"]["properties"]["kind"]["enum"] == ["x", "y"]
     assert reg.reference_columns() == [("R", "a", "A", "name", "uses")] and "name (string, required)" in reg.prompt(["A"])
+
+
+def test_verify_is_the_row_rule(spark):
+    rows = spark.createDataFrame(
+        [(1, "d", "thymol", "fed thymol"), (2, "d", "Zinc (ZnO)", ""), (3, "d", "corn oil", None), (4, "d", "large white sows", "white sows were large"), (5, "d", "absent", "none"), (6, "e", "thymol", None), (7, None, "thymol", None), (8, "d", None, "x"), (9, "d", " ", "x")],
+        "i long, doc string, t string, e string",
+    )
+    docs = spark.createDataFrame([("d", "ZINC was added to Corn Oil."), ("e", None)], "doc string, body string")
+    got = {r["i"]: r["tier"] for r in validate.verify(rows, docs, document="doc", ident="i", text="t", evidence="e", body="body").collect()}
+    plain = rows.join(docs, "doc", "left").select("i", validate.evidence_tier(F.col("t"), F.col("e"), F.col("body")).alias("tier"))
+    assert got == {r["i"]: r["tier"] for r in plain.collect()} == {1: 1, 2: 3, 3: 2, 4: 4, 5: None, 6: None, 7: None, 8: None, 9: None}
