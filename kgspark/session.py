@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored in the shared checkpoint folder, with its lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application.
+
+    Workers import what a function needs by name; they need not share the driver's path or folder.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():  # else the package is itself read from an archive that was sent
+        archive = Path(tempfile.mkdtemp(prefix="kgspark-")) / "kgspark.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from kgspark.session import ship
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -9,5 +11,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    ship(s)
     yield s
     s.stop()
