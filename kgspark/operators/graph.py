@@ -11,13 +11,13 @@ from ..functions.names import global_id, graph_name, nonblank, strip
 from ..session import checkpointed
 
 
-def nodes(mentions: DataFrame, *, document: str, cls: str, name: str, attributes: str, order: str, global_types: Sequence[str]) -> DataFrame:
-    """(id, label, name, properties, source_pmids): one node per identity.
+def nodes(mentions: DataFrame, *, document: str, cls: str, name: str, attributes: str, order: str, global_types: Sequence[str], key: str | None = None) -> DataFrame:
+    """(id, label, name, properties, source_pmids): one node per identity, which is ``key`` (else the name).
 
     Every property is the first stated value in order; documents are a sorted set. Properties are picked by (id, key),
     so no node's mentions are gathered in one task. Mentions with a blank name make no node.
     """
-    m = mentions.where(nonblank(F.col(name)).isNotNull()).withColumn("id", global_id(F.col(cls), F.col(name), F.col(document), global_types))
+    m = mentions.where(nonblank(F.col(name)).isNotNull()).withColumn("id", global_id(F.col(cls), F.col(key or name), F.col(document), global_types))
     head = m.groupBy("id").agg(F.min_by(F.col(cls), F.col(order)).alias("label"), F.min_by(F.col(name), F.col(order)).alias("name"))
     one = m.select("id", F.col(order).alias("o"), F.explode(attributes).alias("k", "v")).where(nonblank(F.col("v")).isNotNull()).groupBy("id", "k").agg(F.min_by("v", "o").alias("v"))
     props = one.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("properties"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .config import Settings
@@ -30,6 +30,7 @@ class Result:
     mentions: DataFrame
     nodes: DataFrame
     edges: DataFrame
+    unresolved: DataFrame
     passed: DataFrame
     failed: DataFrame
     errors: DataFrame
@@ -80,6 +81,9 @@ def clean(mentions: DataFrame, registry: Registry, settings: Settings) -> DataFr
     keyed = loose.withColumn("group_key", F.coalesce("group_key", F.concat(F.lit("#"), F.col("ord").cast("string"))))
     merged = dedup.merge_groups(keyed, [*scope, "group_key"], order="ord", text="name", evidence="evidence_text", attributes="attributes", separator=" <|> ", rule="first")
     merged = merged.withColumn("attributes", F.coalesce("attributes", F.create_map().cast("map<string,string>")))
+    # every text of a group goes on naming it, whichever is kept as its name
+    names = keyed.select(*scope, "group_key", F.explode(known_as(registry)).alias("alias")).groupBy(*scope, "group_key").agg(F.array_sort(F.collect_set("alias")).alias("aliases"))
+    merged = merged.join(names, [*scope, "group_key"], "left").withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
     ranks = {n: e.priority for n, e in registry.entities.items() if e.priority is not None}
     if len(ranks) > 1:
         merged = validate.exclusive(merged, ["document_id"], cls="cls", name="name", order="ord", priority=ranks)
@@ -90,20 +94,48 @@ def clean(mentions: DataFrame, registry: Registry, settings: Settings) -> DataFr
     return merged.where(validate.good_enough(F.col("name"), settings.strict) & N.nonblank(F.col("name")).isNotNull())
 
 
-def build_graph(mentions: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of clean mentions; edges whose target is no node are left out."""
+def identity(registry: Registry) -> Column:
+    """What a mention's node is known by: its class's primary attribute if stated, else its name."""
+    stated = [F.when(F.col("cls") == n, N.nonblank(F.col("attributes")[e.primary_text])) for n, e in registry.entities.items() if e.primary_text]
+    return F.coalesce(*stated, F.col("name"))
+
+
+def known_as(registry: Registry) -> Column:
+    """All texts under which a mention may be referred to: its name, and the attributes by which references name its class."""
+    fields = {n: {e.primary_text, "abbreviation", "standard_name"} for n, e in registry.entities.items()}
+    for _, _, target, field, _ in registry.reference_columns():
+        fields[target].add(field)
+    texts = [F.when(F.col("cls") == n, N.nonblank(F.col("attributes")[f])) for n, fs in fields.items() for f in sorted(fs - {""})]
+    return F.array_distinct(F.array_compact(F.array(N.nonblank(F.col("name")), *texts)))
+
+
+def build_graph(mentions: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes, edges and unresolved references of clean mentions.
+
+    Nodes are keyed by ``identity``. A reference goes to the mention of its document and target class that is known by
+    its text (``aliases``; the mention it is the key of comes first), else to the node that the text itself is the key of.
+    References that reach no node of any class they may name are returned, not dropped.
+    """
     shared = registry.global_types()
-    nodes = graph.nodes(mentions, document="document_id", cls="cls", name="name", attributes="attributes", order="ord", global_types=shared)
+    m = mentions.withColumn("key", identity(registry))
+    nodes = graph.nodes(m, document="document_id", cls="cls", name="name", attributes="attributes", order="ord", global_types=shared, key="key")
+    long = m.where(N.nonblank(F.col("name")).isNotNull()).select("document_id", F.col("cls").alias("target"), "key", "ord", F.explode("aliases").alias("alias")).withColumn("form", N.graph_name(F.col("alias")))
+    known = long.where("form <> ''").groupBy("document_id", "target", "form").agg(F.min_by("key", F.struct(F.col("form") != N.graph_name(F.col("key")), "ord")).alias("known"))
     refs = []
     for cls, field, target, _, edge in registry.reference_columns():
         raw = F.col("attributes")[field]
         each = F.explode(F.coalesce(F.from_json(raw, "array<string>"), F.array(raw))).alias("value")
-        r = mentions.where((F.col("cls") == cls) & N.nonblank(raw).isNotNull()).select("document_id", "ord", "name", "cls", "evidence_text", each).where(N.nonblank(F.col("value")).isNotNull())
-        source = N.global_id(F.col("cls"), F.col("name"), F.col("document_id"), shared)
-        refs.append(r.select(source.alias("s"), N.global_id(F.lit(target), F.col("value"), F.col("document_id"), shared).alias("t"), F.lit(edge).alias("k"), "document_id", "evidence_text", "ord"))
-    none = mentions.sparkSession.createDataFrame([], "s string, t string, k string, document_id string, evidence_text string, ord long")
-    edges = graph.edges(reduce(DataFrame.unionByName, refs, none), source="s", target="t", kind="k", document="document_id", evidence="evidence_text", order="ord")
-    return nodes, edges.join(nodes.select(F.col("id").alias("target_id")), "target_id", "left_semi")
+        r = m.where((F.col("cls") == cls) & N.nonblank(raw).isNotNull() & N.nonblank(F.col("name")).isNotNull()).select("document_id", "ord", "key", "cls", "evidence_text", each).where(N.nonblank(F.col("value")).isNotNull())
+        source = N.global_id(F.col("cls"), F.col("key"), F.col("document_id"), shared)
+        refs.append(r.select(source.alias("s"), F.lit(target).alias("target"), F.lit(field).alias("field"), "value", F.lit(edge).alias("k"), "document_id", "evidence_text", "ord"))
+    none = mentions.sparkSession.createDataFrame([], "s string, target string, field string, value string, k string, document_id string, evidence_text string, ord long")
+    every = reduce(DataFrame.unionByName, refs, none).withColumn("form", N.graph_name(F.col("value"))).join(known, ["document_id", "target", "form"], "left")
+    every = every.withColumn("t", N.global_id(F.col("target"), F.coalesce("known", "value"), F.col("document_id"), shared))
+    every = checkpointed(every.join(nodes.select(F.col("id").alias("t"), F.lit(True).alias("there")), "t", "left"))
+    one = ["document_id", "s", "field", "value", "k"]
+    unresolved = every.groupBy(*one).agg(F.array_sort(F.collect_set("target")).alias("targets"), F.min("ord").alias("ord"), F.max("there").alias("there")).where("there IS NULL")
+    edges = graph.edges(every.where("there AND s <> t"), source="s", target="t", kind="k", document="document_id", evidence="evidence_text", order="ord")
+    return nodes, edges, unresolved.select("document_id", F.col("s").alias("source_id"), "field", "value", F.col("k").alias("type"), "targets", "ord")
 
 
 def run(articles: DataFrame, registry: Registry, make: Callable[[], extract.Extractor], settings: Settings | None = None, vocabularies: Mapping[str, DataFrame] | None = None) -> Result:
@@ -131,8 +163,8 @@ def run(articles: DataFrame, registry: Registry, make: Callable[[], extract.Extr
     placed = align.align(flat, src.to_documents(articles), document="document_id", mention="name", text="text", keep=keep, context=settings.evidence_chars)
     placed = placed.withColumn("attributes", F.from_json("attributes", "map<string,string>"))
     mentions = checkpointed(clean(placed, registry, settings).join(going.select("document_id"), "document_id", "left_semi"))
-    nodes, edges = build_graph(mentions, registry)
-    return Result(mentions, nodes, edges, going.select("document_id"), failed, errors)
+    nodes, edges, unresolved = build_graph(mentions, registry)
+    return Result(mentions, nodes, edges, unresolved, going.select("document_id"), failed, errors)
 
 
 def deliver(result: Result, registry: Registry, out: str) -> None:
@@ -142,6 +174,7 @@ def deliver(result: Result, registry: Registry, out: str) -> None:
         sinks.write_csv(sinks.review_table(m, ["document_id", "name", "evidence_text"], "attributes", [a.name for a in registry.entities[cls].attributes]), f"{out}/review/{cls}")
     sinks.write_csv(sinks.neo4j_nodes(result.nodes, sinks.property_names(result.nodes)), f"{out}/graph/nodes")
     sinks.write_csv(sinks.neo4j_edges(result.edges), f"{out}/graph/edges")
+    sinks.write_csv(result.unresolved.withColumn("targets", F.array_join("targets", "|")), f"{out}/graph/unresolved")
     sinks.write_csv(sinks.manifest(result.passed, result.mentions.withColumnRenamed("name", "first_mention"), "document_id", "ord", ["first_mention"]), f"{out}/manifest")
     sinks.write_csv(sinks.summary(result.passed, result.failed, result.mentions, "document_id", "cls"), f"{out}/summary")
 

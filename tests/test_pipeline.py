@@ -87,3 +87,25 @@ def test_debug(tmp_path, capsys):
     f.write_text("<article><body><sec><title>Results</title><p>x</p></sec></body></article>")
     assert main(["debug", str(f)]) == 0
     assert json.loads(capsys.readouterr().out)["sections"][0]["section_key"] == "results"
+
+
+class Named(DictionaryExtractor):
+    """Indicators named in full with their abbreviation, and results that name them by it."""
+
+    def __call__(self, prompts):
+        full = {"Indicator": "average daily gain", "Indicator_attributes": {"abbreviation": "ADG"}}
+        results = [{"Result": t, "Result_attributes": {"indicator_abbreviation": v}} for t, v in (("gain rose", "ADG"), ("gain fell", "average daily gain"), ("intake rose", "FI"))]
+        return [json.dumps({"extractions": [full, {"Indicator": "average daily gains"}, *results]}) for _ in prompts]
+
+
+def test_references_reach_nodes_by_identity(spark, tmp_path):
+    reg = Registry.from_mappings(ENTITIES | {"Indicator": ENTITIES["Indicator"] | {"dedup_mode": "fuzzy"}}, {"results": PHASES["results"]})
+    docs = articles(spark).limit(1).withColumn("sections", F.expr("transform(sections, s -> named_struct('section_key', s.section_key, 'section_text', 'The average daily gain (ADG): gain rose, gain fell, intake rose; average daily gains.'))"))
+    res = run(docs, reg, lambda: Named({}), Settings())
+    label = {r["id"]: (r["label"], r["name"]) for r in res.nodes.collect()}
+    ends = sorted((label[r["source_id"]][1], label[r["target_id"]][0]) for r in res.edges.collect())
+    # one source per stated indicator; both spellings reach the same node
+    assert len({r["target_id"] for r in res.edges.collect()}) == 1 and {e[1] for e in ends} == {"Indicator"} and len(ends) == 2
+    assert [(r["value"], r["type"], r["targets"]) for r in res.unresolved.collect()] == [("FI", "corresponds_to", ["Indicator"])]
+    deliver(res, reg, str(tmp_path))
+    assert spark.read.option("header", True).csv(str(tmp_path / "graph/unresolved")).count() == 1
