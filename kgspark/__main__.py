@@ -1,4 +1,4 @@
-"""Command line: ``python -m kgspark batch INPUT OUT --entities F --phases F --names F`` and ``debug FILE``."""
+"""Command line: ``python -m kgspark batch INPUT OUT --entities F --phases F --names F --vocabulary CLASS F NAMES TYPE SUBTYPE`` and ``debug FILE``."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ import sys
 from pyspark.sql import SparkSession
 
 from .config import Settings
+from .operators import vocabulary
 from .operators.extract import DictionaryExtractor
 from .registry import Registry
 from .sources.articles import parse_article, read_articles
+from .sources.tables import read_vocabulary
 
 
 def main(args: list[str] | None = None) -> int:
@@ -24,6 +26,7 @@ def main(args: list[str] | None = None) -> int:
     b.add_argument("--entities", required=True, help="YAML of entity classes")
     b.add_argument("--phases", required=True, help="YAML of phases")
     b.add_argument("--names", required=True, help="JSON of names by class for the offline extractor")
+    b.add_argument("--vocabulary", nargs=5, action="append", default=[], metavar=("CLASS", "FILE", "NAMES", "TYPE", "SUBTYPE"), help="tab-separated vocabulary of a class, and its columns of names, class and subclass; may be repeated")
     b.add_argument("--skip-gate", action="store_true")
     d = sub.add_parser("debug", help="what is read from one article")
     d.add_argument("file")
@@ -41,7 +44,10 @@ def main(args: list[str] | None = None) -> int:
     with open(a.names, encoding="utf-8") as f:
         names = json.load(f)
     spark = SparkSession.builder.appName("kgspark").getOrCreate()
-    result = run(read_articles(spark, a.input, a.glob), registry, lambda: DictionaryExtractor(names), Settings.load(spark, skip_gate=a.skip_gate))
+    vocabularies = {cls: vocabulary.load(read_vocabulary(spark, path), *columns) for cls, path, *columns in a.vocabulary}
+    if unknown := sorted(set(vocabularies) - set(registry.entities)):
+        p.error(f"vocabularies of unknown classes: {unknown}")
+    result = run(read_articles(spark, a.input, a.glob), registry, lambda: DictionaryExtractor(names), Settings.load(spark, skip_gate=a.skip_gate), vocabularies)
     deliver(result, registry, a.out)
     return 0
 

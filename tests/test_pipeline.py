@@ -109,3 +109,17 @@ def test_references_reach_nodes_by_identity(spark, tmp_path):
     assert [(r["value"], r["type"], r["targets"]) for r in res.unresolved.collect()] == [("FI", "corresponds_to", ["Indicator"])]
     deliver(res, reg, str(tmp_path))
     assert spark.read.option("header", True).csv(str(tmp_path / "graph/unresolved")).count() == 1
+
+
+def test_batch_with_vocabulary_passes_the_gate(spark, tmp_path):
+    docs = tmp_path / "in"
+    docs.mkdir()
+    (docs / "1.xml").write_text("<article><front><article-meta><abstract><p>Thymol was fed to pigs.</p></abstract></article-meta></front><body><sec><title>Results</title>\n<p>ADG rose in all pigs.</p></sec></body></article>")
+    for name, data in (("entities", ENTITIES), ("phases", PHASES), ("names", {"Alternative": ["thymol"], "Indicator": ["ADG"]})):
+        (tmp_path / f"{name}.json").write_text(json.dumps(data))
+    (tmp_path / "v.tsv").write_text("c\ts\tn\nPlant\toil\tthymol (THY)\n")
+    args = ["batch", str(docs), str(tmp_path / "out"), *(x for n in ("entities", "phases", "names") for x in (f"--{n}", str(tmp_path / f"{n}.json")))]
+    assert main([*args, "--vocabulary", "Alternative", str(tmp_path / "v.tsv"), "n", "c", "s"]) == 0
+    nodes = spark.read.option("header", True).csv(str(tmp_path / "out/graph/nodes"))
+    assert nodes.count() == 2
+    assert spark.read.option("header", True).csv(str(tmp_path / "out/manifest")).count() == 1
