@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,20 @@ from ..session import checkpointed
 UNIT = 1_000_000
 
 
-def rake(cells: DataFrame, sources: DataFrame, others: Sequence[str], rounds: int = 5, tolerance: float = 0.01) -> DataFrame:
+#: Up to so many cells are raked on the driver, where a round costs microseconds; more are raked by aggregates, by the same rule.
+CELLS = 200_000
+
+
+def rake(cells: DataFrame, sources: DataFrame, others: Sequence[str], tolerance: float = 0.001, still: float = 1e-7) -> DataFrame:
     """``cells`` (source, others, tokens) with ``weight``, the copies each document of a cell should have on average.
 
     Iterative proportional fitting: weights start from what gives each source its target (``sources``: source, target,
     cap) and are scaled to the marginals of each of ``others`` (the shares its values have among all tokens that can be
-    mixed) and of the sources in turn, never above the source's cap, until no value's uncapped cells miss its marginal by
-    more than ``tolerance``, or a round no longer brings them nearer (caps can make the marginals impossible together). The source comes last in each round: its share is the one demanded. A
-    marginal is an aggregate of the cells, whose number doesn't depend on the number of documents.
+    mixed) and of the sources in turn, never above the source's cap. It goes on until no value's uncapped cells miss its
+    marginal by more than ``tolerance``, or a round moves less than the part ``still`` of the mixture's tokens (caps can
+    make the marginals impossible together); the number of rounds has no limit. The source comes last in each round: its
+    share is the one demanded. The cells, whose number doesn't depend on that of the documents, are raked on the driver
+    if they are few (``CELLS``).
     """
     state = cells.join(F.broadcast(sources), "source").withColumn("weight", F.lit(0.0))
     total = F.sum("target").alias("t")
@@ -32,20 +40,52 @@ def rake(cells: DataFrame, sources: DataFrame, others: Sequence[str], rounds: in
         return state
     state = state.join(F.broadcast(wanted.select("source", (F.col("target") / F.col("have")).alias("f"))), "source").withColumn("weight", F.least("cap", "f")).drop("f")
     everything = state.agg(F.sum("tokens").alias("n")).first()["n"]
-    state = checkpointed(state.withColumn("miss", F.lit(0.0)))
-    before = None
-    for _ in range(rounds):
-        state = state.withColumn("miss", F.lit(0.0))
+    state = checkpointed(state)
+    rows = state.orderBy("source", *others).limit(CELLS + 1).toPandas()
+    if len(rows) <= CELLS:
+        rows["weight"] = _rake_rows(rows, others, mass / everything, tolerance, still)
+        state = state.sparkSession.createDataFrame(rows, state.schema)
+    else:
+        state = _rake_cells(state, others, mass / everything, tolerance, still * mass)
+    return _reach(state)
+
+
+def _rake_rows(rows: pd.DataFrame, others: Sequence[str], part: float, tolerance: float, still: float) -> np.ndarray:
+    tokens, cap, target, w = (rows[c].to_numpy(float) for c in ("tokens", "cap", "target", "weight"))
+    dims = []
+    for c in [*others, "source"]:
+        code, values = pd.factorize(rows[c])
+        want = np.zeros(len(values))
+        if c == "source":
+            want[code] = target
+        else:
+            want = np.bincount(code, tokens, len(values)) * part
+        dims.append((c, code, want))
+    mass = dims[-1][2].sum()
+    while True:
+        before, miss = w, 0.0
+        for c, code, want in dims:
+            now = np.bincount(code, tokens * w, len(want))
+            f = np.divide(want, now, out=np.ones(len(want)), where=now > 0)[code]
+            w = np.minimum(cap, w * f)
+            if c != "source":
+                miss = max(miss, np.abs(f - 1)[w < cap].max(initial=0.0))
+        if miss <= tolerance or (tokens * np.abs(w - before)).sum() <= still * mass:
+            return w
+
+
+def _rake_cells(state: DataFrame, others: Sequence[str], part: float, tolerance: float, least: float) -> DataFrame:
+    while True:
+        state = state.withColumn("miss", F.lit(0.0)).withColumn("before", F.col("weight"))
         for dim in others:
-            now = state.groupBy(dim).agg((F.sum("tokens") * F.lit(mass / everything)).alias("want"), F.sum(F.col("tokens") * F.col("weight")).alias("now"))
+            now = state.groupBy(dim).agg((F.sum("tokens") * F.lit(part)).alias("want"), F.sum(F.col("tokens") * F.col("weight")).alias("now"))
             state = _scale(state, now, dim).withColumn("miss", F.when(F.col("weight") < F.col("cap"), F.greatest("miss", F.abs(F.col("f") - 1))).otherwise(F.col("miss"))).drop("f")
         now = state.groupBy("source").agg(F.first("target").alias("want"), F.sum(F.col("tokens") * F.col("weight")).alias("now"))
         state = checkpointed(_scale(state, F.broadcast(now), "source").drop("f"))
-        miss = state.agg(F.max("miss").alias("m")).first()["m"] or 0.0
-        if miss <= tolerance or before is not None and miss > 0.9 * before:  # caps can make the marginals impossible
-            break
-        before = miss
-    return _reach(state)
+        r = state.agg(F.max("miss").alias("miss"), F.sum(F.col("tokens") * F.abs(F.col("weight") - F.col("before"))).alias("moved")).first()
+        state = state.drop("miss", "before")
+        if (r["miss"] or 0.0) <= tolerance or r["moved"] <= least:
+            return state
 
 
 def _reach(state: DataFrame, steps: int = 64, refinements: int = 3) -> DataFrame:
@@ -129,3 +169,14 @@ def shares(mixture: DataFrame, targets: DataFrame, size: str, share: str = "targ
     out = targets.join(F.broadcast(got), "source", "left").crossJoin(F.broadcast(whole))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return out.select("source", share, repeats, zero("tokens_there").alias("tokens_there"), zero("tokens_used").alias("tokens_used"), zero("most_copies").alias("most_copies"), (zero("tokens_used") / F.col("whole")).alias("actual_share"))
+
+
+def marginals(mixture: DataFrame, docs: DataFrame, key: str, size: str, others: Sequence[str]) -> DataFrame:
+    """(dimension, value, wanted_share, expected_share, reached_share) of every value of ``others``: its share among the
+    tokens that can be mixed, by the weights, and in the mixture drawn. ``mixture`` is all rows of ``mix`` over ``docs``."""
+    label = lambda c: F.lower(F.trim(c)).alias(c)
+    m = mixture.join(docs.select(key, *(label(c) for c in others)), key)
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value")) for c in others))).alias("v")
+    got = m.select(size, "weight", "copies", each).groupBy("v.dimension", "v.value").agg(F.sum(size).alias("n"), F.sum(F.col(size) * F.col("weight")).alias("e"), F.sum(F.col(size) * F.col("copies")).alias("c"))
+    whole = got.groupBy("dimension").agg(*(F.sum(x).alias(f"all_{x}") for x in "nec"))
+    return got.join(F.broadcast(whole), "dimension").select("dimension", "value", *((F.col(x) / F.col(f"all_{x}")).alias(n) for x, n in (("n", "wanted_share"), ("e", "expected_share"), ("c", "reached_share"))))

@@ -12,7 +12,7 @@ from . import lists
 from .canonical import map_to_canonical
 from .components import group_matches
 from .lookalikes import bigram_scores, consistent_forms, look_alike_pairs
-from .mixing import mix, shares
+from .mixing import marginals, mix, shares
 from .packing import fill_report, pack
 from .splitting import split_items
 from .survivors import choose_bundles, stated
@@ -147,6 +147,13 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return shares(mix(docs, targets, key="doc_id", size="n_tokens", others=["lang", "topic"]), targets, "n_tokens")
 
 
+def p7_marginals(spark: SparkSession, sf: str) -> DataFrame:
+    """Wanted and reached share of each language and topic."""
+    docs = _sized(spark, sf, ["doc_id", "source", "lang", "topic"])
+    mixture = mix(docs, table(spark, sf, "mix_targets"), key="doc_id", size="n_tokens", others=["lang", "topic"])
+    return marginals(mixture, docs, "doc_id", "n_tokens", ["lang", "topic"])
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of documents whose different texts look the same."""
     pairs = look_alike_pairs(table(spark, sf, "documents"), "doc_id", "text")
@@ -160,4 +167,4 @@ def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_group_sizes, p2_found, p2_unmatched, p3_found, p3_bundles, p5_found, p5_pieces, p6_packed, p6_fill, p7_mixture, p7_shares, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_group_sizes, p2_found, p2_unmatched, p3_found, p3_bundles, p5_found, p5_pieces, p6_packed, p6_fill, p7_mixture, p7_shares, p7_marginals, p8_found, p8_forms)}

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from kgspark.llm.mixing import mix, shares
+from kgspark.llm import mixing
+from kgspark.llm.mixing import marginals, mix, rake, shares
 
 DOCS = "doc_id long, source string, lang string, n long, weight string"
 
@@ -44,3 +45,28 @@ def test_odd_cases(spark):
     assert mix(docs.limit(0), gone, key="doc_id", size="n", others=["lang"]).count() == 0
     small = mix(docs, gone, key="doc_id", size="n", total=5000.0)
     assert small.agg(F.sum(F.col("n") * F.col("copies")).alias("t")).first()["t"] < 6000
+
+
+def test_marginals_are_met_to_the_tolerance(spark, monkeypatch):
+    # source and language go together, so that raking converges slowly
+    rows = [("a", "x", "p", 9800), ("a", "y", "p", 300), ("a", "y", "q", 40), ("b", "x", "q", 300), ("b", "y", "p", 9700), ("b", "x", "p", 60)]
+    cells = spark.createDataFrame(rows, "source string, l0 string, l1 string, tokens long")
+    sources = spark.createDataFrame([("a", 3000.0, 1000.0), ("b", 2000.0, 1000.0)], "source string, target double, cap double")
+
+    got = rake(cells, sources, ["l0", "l1"]).collect()
+    for d, i in (("l0", 1), ("l1", 2)):
+        for v in {r[i] for r in rows}:
+            want = 5000 * sum(r[3] for r in rows if r[i] == v) / 20200
+            assert abs(sum(r["tokens"] * r["weight"] for r in got if r[d] == v) / want - 1) < 0.005
+    # more cells than are taken to the driver: the same rounds by aggregates
+    here = {tuple(r[c] for c in ("source", "l0", "l1")): r["weight"] for r in rake(cells, sources, ["l0", "l1"], tolerance=0.25).collect()}
+    monkeypatch.setattr(mixing, "CELLS", 0)
+    there = {tuple(r[c] for c in ("source", "l0", "l1")): r["weight"] for r in rake(cells, sources, ["l0", "l1"], tolerance=0.25).collect()}
+    assert here.keys() == there.keys() and all(abs(here[k] / there[k] - 1) < 1e-9 for k in here)
+
+
+def test_marginals_reported(spark):
+    docs = spark.createDataFrame([(i, "s", ("en", "de", None)[i % 3], 10) for i in range(30)], "doc_id long, source string, lang string, n long")
+    m = mix(docs, spark.createDataFrame([("s", 1.0, 1)], "source string, target_share double, max_repeats int"), key="doc_id", size="n", others=["lang"])
+    got = {r["value"]: r for r in marginals(m, docs, "doc_id", "n", ["lang"]).collect()}
+    assert set(got) == {"en", "de", None} and all(abs(r[k] - 1 / 3) < 1e-3 for r in got.values() for k in ("wanted_share", "expected_share", "reached_share"))
