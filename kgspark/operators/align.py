@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -139,11 +140,12 @@ def _by_words(low: str, doc: Text) -> tuple[int, int, str] | None:
     at = {w: list(_hits(doc.low, w)) for w in words}
     reach, best = len(low) * 3, (0, -1, -1)
     for w in words:
-        for p in at[w][:5]:
+        for p in at[w]:
             end, covered = p + len(w), 1
             for v in words:
                 if v != w and at[v]:
-                    q = min(at[v], key=lambda z: abs(z - end))
+                    i = bisect_left(at[v], end)
+                    q = min(at[v][max(0, i - 1) : i + 1], key=lambda z: abs(z - end))
                     if abs(q - end) < reach:
                         covered, end = covered + 1, max(end, q + len(v))
             if covered > best[0]:

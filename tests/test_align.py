@@ -76,3 +76,10 @@ def test_frame(spark):
     docs = spark.createDataFrame([("d", D)], "doc string, t string")
     got = {r["id"]: (r["start_pos"], r["alignment_status"]) for r in A.align(m, docs, document="doc", mention="m", text="t", keep=["id"]).collect()}
     assert got[1] == (D.index("thymol"), "match_exact") and got[2] == got[3] == (None, None)
+
+
+def test_cluster_after_many_single_occurrences():
+    far = "z " * 60
+    text = ("alpha " + far) * 7 + ("gamma " + far) * 7 + "gamma and alpha"
+    b, e, _ = A._by_words("alpha gamma", A.Text(text))
+    assert text[b:e] in ("gamma and alpha", "alpha") and b >= text.rindex("gamma")
