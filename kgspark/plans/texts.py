@@ -138,10 +138,18 @@ def parsed_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("result_id", F.col("m.text").alias("mention"), F.col("m.attributes")["direction"].alias("direction"), F.col("m.attributes")["relation_type"].alias("relation_type"))
 
 
+def _dictionary(names: DataFrame, most: int = 10_000) -> list[str]:
+    """The distinct names that aren't blank, sorted; more than ``most`` are refused."""
+    out = [r["s"] for r in names.where("s <> ''").distinct().orderBy("s").limit(most + 1).collect()]
+    if len(out) > most:
+        raise ValueError(f"more than {most} names")
+    return out
+
+
 @query()
 def extracted(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks through an offline extractor, its answers parsed and resolved."""
-    names = [r["s"] for r in table(spark, sf, "tissue_sites").select(F.lower(N.strip(F.col("site_name"))).alias("s")).distinct().orderBy("s").limit(10_000).collect() if r["s"]]
+    names = _dictionary(table(spark, sf, "tissue_sites").select(F.lower(N.strip(F.col("site_name"))).alias("s")))
     asked = extract.extract(chunks(spark, sf), ["document_id", "chunk_idx"], "chunk_text", lambda: extract.DictionaryExtractor({"Tissue_Site": names}))
     return extract.resolve_outputs(asked, ["document_id", "chunk_idx"], "output").where("extraction_class IS NOT NULL").select("document_id", "chunk_idx", "ext_ord", "extraction_class", "extraction_text")
 

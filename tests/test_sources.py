@@ -3,6 +3,7 @@
 import pytest
 
 from kgspark import streaming
+from kgspark.plans.texts import _dictionary
 from kgspark.sources import articles, sinks, tables
 
 XML = """<article xmlns="urn:x"><front><journal-meta><journal-title>J</journal-title></journal-meta><article-meta>
@@ -61,3 +62,10 @@ def test_stream(spark, tmp_path):
     s = streaming.read_stream(spark, str(tmp_path / "in"), "id long, k string")
     streaming.run_batches(s, lambda df: df.distinct(), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_too_many_dictionary_names_are_refused(spark):
+    names = spark.createDataFrame([("b",), ("a",), ("",), (None,), ("a",)], "s string")
+    assert _dictionary(names, 2) == ["a", "b"]
+    with pytest.raises(ValueError, match="more than 1 names"):
+        _dictionary(names, 1)
