@@ -253,6 +253,20 @@ def decompose_and(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.explode(extract.split_conjunction(F.col("t"))).alias("part"))
 
 
+def _wide(e: str) -> str:
+    w = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    return f"regexp_replace({e}, '^{w}|{w}$', '', 'g')"
+
+
+@query(r"""SELECT doc_id, pos, unnest(CASE WHEN a <> '' AND contains(a, ' ') AND contains(b, ' ') AND length(t) - length(replace(t, ' ', '')) > 4 AND length(t) <= 60 THEN [t, a, b] ELSE [t] END) AS part FROM (
+ SELECT doc_id, pos, t, {a} AS a, {b} AS b FROM (SELECT doc_id, pos, {t} AS t FROM (SELECT doc_id, unnest(range(1, len(string_split(text, '.')) + 1)) - 1 AS pos, unnest(string_split(text, '.')) AS c FROM documents WHERE text IS NOT NULL)) WHERE t <> '')""".replace("{t}", _wide("c")).replace("{a}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 1)")).replace("{b}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 2)")))
+def decompose_clauses(spark: SparkSession, sf: str) -> DataFrame:
+    """Every clause of each document that isn't blank, and its two sides if it reads 'A and B'."""
+    d = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", r"\.")).alias("pos", "c"))
+    d = d.select("doc_id", F.col("pos").cast("long").alias("pos"), N.strip(F.col("c")).alias("t")).where("t <> ''")
+    return d.select("doc_id", "pos", F.explode(extract.split_conjunction(F.col("t"))).alias("part"))
+
+
 @query(f"""SELECT result_id, {_case('direction', V.DIRECTIONS)} AS direction, (CASE WHEN coalesce({_case('direction', V.DIRECTIONS)}, '') <> coalesce(direction, '') THEN 1 ELSE 0 END) + (CASE WHEN coalesce({_case('relation_type', V.RELATIONS)}, '') <> coalesce(relation_type, '') THEN 1 ELSE 0 END) AS n_changes FROM (SELECT DISTINCT result_id, direction, relation_type FROM results)""")
 def repairs(spark: SparkSession, sf: str) -> DataFrame:
     """Results with repaired direction and the number of repaired fields."""
