@@ -61,13 +61,13 @@ def _rake_rows(rows: pd.DataFrame, others: Sequence[str], part: float, tolerance
         else:
             want = np.bincount(code, tokens, len(values)) * part
         dims.append((c, code, want))
-    mass = dims[-1][2].sum()
+    mass = np.nansum(dims[-1][2])
     while True:
         before, miss = w, 0.0
         for c, code, want in dims:
             now = np.bincount(code, tokens * w, len(want))
             f = np.divide(want, now, out=np.ones(len(want)), where=now > 0)[code]
-            w = np.minimum(cap, w * f)
+            w = np.fmin(cap, w * f)  # as least() does, a missing cap is none
             if c != "source":
                 miss = max(miss, np.abs(f - 1)[w < cap].max(initial=0.0))
         if miss <= tolerance or (tokens * np.abs(w - before)).sum() <= still * mass:
