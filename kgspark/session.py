@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +35,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def _storable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return bool(kind.fields) and all(_storable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _storable(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _storable(kind.keyType) and _storable(kind.valueType)
+    return isinstance(kind, T.StringType | T.BinaryType | T.BooleanType | T.NumericType | T.DateType | T.TimestampType | T.TimestampNTZType)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and stored in the shared checkpoint folder, with its lineage cut."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and stored in the shared checkpoint folder, with its lineage cut.
+
+    It is written as a table, which is smaller than a checkpoint of rows, lets later steps read only the columns they
+    use, and tells the planner its size. Its files go when the application ends. Columns are stored by number, so their
+    names may be any; types that a table can't hold are checkpointed as rows.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not df.columns or not _storable(df.schema):
+        return df.checkpoint(eager=True)
+    sc = spark.sparkContext
+    path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    stored = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    stored.write.parquet(path)
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(stored.schema).parquet(path).toDF(*df.columns)
 
 
 _SHIPPED: set[str] = set()
