@@ -65,11 +65,10 @@ def _parents(sources: Mapping[str, Source], references: Sequence[Reference]) ->
 _ON = ["target", "scope", "key"]
 
 
-def _join(children: DataFrame, targets: DataFrame, hot_rows: int) -> DataFrame:
-    """Left lookup of targets; a key can only be hot in a hot scope, so few rows are counted by key, mostly none."""
+def _hot(children: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Keys named by very many rows; a key can only be hot in a hot scope, so few rows are counted by key, mostly none."""
     scopes = hot_keys(children, ["scope"], hot_rows)
-    hot = None if scopes is None else hot_keys(children.join(F.broadcast(scopes), "scope", "left_semi"), _ON, hot_rows)
-    return lookup_join(children, targets, _ON, "left", hot=hot)
+    return None if scopes is None else hot_keys(children.join(F.broadcast(scopes), "scope", "left_semi"), _ON, hot_rows)
 
 
 def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -80,9 +79,10 @@ def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference],
     reduced to one row per key, so the join is a lookup and never multiplies rows.
 
     Fixpoint cascade: a reference whose agreeing, not deleted parents are all orphans themselves is an inherited
-    orphan (reason 'inherited'). Rounds of semi-joins go down the foreign-key graph, each looking only at references
-    to tables that have orphans, until a round finds none; a reference reported once is not reported again, so cycles
-    end. If no parent table makes references, the first round is the last.
+    orphan (reason 'inherited'). Rounds of semi-joins go down the foreign-key graph, each from the orphans that the
+    round before found to the keys they can be named by and on to the references that name these, until a round finds
+    none; a reference reported once is not reported again, so cycles end. If no parent table makes references, the
+    first round is the last.
 
     ref_month is the month, in UTC, of the referring row's arrival, null if that is null. Null and blank references,
     and rows without an id, refer to nothing; a null scope agrees with nothing. Redelivered rows count once, by their
@@ -93,27 +93,23 @@ def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference],
     early = F.lit("0001-01-01 00:00:00").cast("timestamp")
     targets = parents.groupBy(*_ON).agg(F.min(F.when(~F.col("gone"), F.coalesce("arrived", early))).alias("first"), F.lit(True).alias("known"))
     reason = F.when(F.col("known").isNull(), "missing").when(F.col("first").isNull(), "deleted").when(F.col("first") > F.col("loaded"), "late")
-    judged = _join(children, targets, hot_rows).withColumn("reason", reason)
-    direct = _once(judged.where("reason IS NOT NULL")).withColumns({"kind": F.lit("direct"), "depth": F.lit(0)})
-    referring = {r.table for r in references}
-    if not referring & {r.parent for r in references}:
-        return _report(direct)
-    found = [checkpointed(direct)]
-    fresh = found[0]
-    depth = 0
+    hot = _hot(children, hot_rows)
+    judged = lookup_join(children, targets, _ON, "left", hot=hot).withColumn("reason", reason)
+    found = [checkpointed(_once(judged.where("reason IS NOT NULL")).withColumns({"kind": F.lit("direct"), "depth": F.lit(0)}))]
     while True:
-        hit = [r["table"] for r in fresh.select("table").distinct().collect()]
+        fresh = found[-1]
+        hit = {r["table"] for r in fresh.select("table").distinct().collect()}
         below = [r for r in references if r.parent in hit]
         if not below:
             break
-        depth += 1
-        bad = reduce(DataFrame.unionByName, (f.select(F.col("table").alias("parent"), F.col("id").alias("parent_id")) for f in found)).distinct()
-        live = _parents(sources, below).where(~F.col("gone"))
-        state = live.join(bad.withColumn("bad", F.lit(True)), ["parent", "parent_id"], "left").groupBy(*_ON).agg(F.min(F.coalesce("bad", F.lit(False))).alias("bad"))
-        lost = state.where("bad").select(*_ON, F.lit(True).alias("lost"))
-        down = _join(_children(sources, below), lost, hot_rows).where("lost").withColumn("reason", F.lit("inherited"))
+        orphaned = lambda fs: reduce(DataFrame.unionByName, (f.select(F.col("table").alias("parent"), F.col("id").alias("parent_id")) for f in fs))
+        live = _parents(sources, below).where(~F.col("gone")).select("parent", "parent_id", *_ON)
+        touched = live.join(orphaned([fresh]).distinct(), ["parent", "parent_id"], "left_semi").select(*_ON).distinct()
+        state = live.join(touched, _ON, "left_semi").join(orphaned(found).distinct().withColumn("bad", F.lit(True)), ["parent", "parent_id"], "left")
+        lost = state.groupBy(*_ON).agg(F.min(F.coalesce("bad", F.lit(False))).alias("lost")).where("lost")
+        down = lookup_join(_children(sources, below), lost, _ON, "inner", hot=hot).withColumn("reason", F.lit("inherited"))
         known = reduce(DataFrame.unionByName, (f.select("table", "field", "id") for f in found))
-        fresh = checkpointed(_once(down).join(known, ["table", "field", "id"], "left_anti").withColumns({"kind": F.lit("inherited"), "depth": F.lit(depth)}))
+        fresh = checkpointed(_once(down).join(known, ["table", "field", "id"], "left_anti").withColumns({"kind": F.lit("inherited"), "depth": F.lit(len(found))}))
         if fresh.isEmpty():
             break
         found.append(fresh)

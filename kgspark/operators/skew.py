@@ -7,10 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 #: A key with at least this many rows is joined apart from the rest.
-HOT_ROWS = 200_000
-#: At most this many keys are treated as hot, which bounds what is broadcast whatever the data.
-HOT_KEYS = 1_000
+HOT_ROWS = 1_000_000
+#: At most this many keys, those with the most rows, are treated as hot, which bounds what is broadcast whatever the
+#: data. A key left out has less than this part of all rows: no more than its share of a join of as many partitions.
+HOT_KEYS = 20_000
+
+
+def hottest(counts: DataFrame, n: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Of a table of keys and their numbers of rows ``n`` the keys with ``hot_rows`` or more, at most HOT_KEYS; None if
+    there are none. The keys are stored, not collected: the driver learns only whether there are any."""
+    found = checkpointed(counts.where(F.col(n) >= hot_rows).orderBy(F.desc(n)).limit(HOT_KEYS).drop(n))
+    return None if found.isEmpty() else found
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -21,9 +31,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     present = df
     for k in keys:
         present = present.where(F.col(k).isNotNull())
-    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= hot_rows)
-    found = counts.orderBy(F.desc("__n")).limit(HOT_KEYS).drop("__n").collect()
-    return df.sparkSession.createDataFrame(found, df.select(*keys).schema) if found else None
+    return hottest(present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), "__n", hot_rows)
 
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", hot_rows: int = HOT_ROWS, hot: DataFrame | None | str = "find") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import plans
 from .operators.orphans import Reference, Source, find_orphans, orphan_summary
@@ -30,8 +31,9 @@ def _sources(spark: SparkSession, sf: str) -> dict[str, Source]:
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Direct orphan references of results and interventions."""
-    return find_orphans(_sources(spark, sf), DIRECT).select("ref_table", "ref_field", "record_id", "ref_month", "reason")
+    """Direct orphan references of results and interventions, out of the cascade over the whole foreign-key graph."""
+    direct = find_orphans(_sources(spark, sf), CASCADE).where(F.col("kind") == "direct").where(F.col("ref_table").isin(*(r.table for r in DIRECT)))
+    return direct.select("ref_table", "ref_field", "record_id", "ref_month", "reason")
 
 
 def p4_cascade(spark: SparkSession, sf: str) -> DataFrame:
