@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.skew import HOT_KEYS, HOT_ROWS, lookup_join
+from ..operators.skew import HOT_ROWS, hottest, lookup_join
 from ..session import checkpointed
 
 
-def _hot(degrees: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    found = degrees.where(F.col("deg") >= hot_rows).orderBy(F.desc("deg")).limit(HOT_KEYS).select(*keys).collect()
-    return degrees.sparkSession.createDataFrame(found, degrees.select(*keys).schema) if found else None
+def _with_least(rows: DataFrame, values: dict[str, str], most: int, hot_rows: int) -> DataFrame:
+    """``rows`` (s, u, ...) with, by name, the least of a column among all rows of their vertex.
+
+    One shuffle by vertex serves the aggregate and its way back. If there may be vertices with ``hot_rows`` rows or more
+    (``most`` bounds the number of all rows), those take the other way: their least is aggregated on the map side and
+    broadcast, and their rows stay where they are.
+    """
+    least = {name: F.min(v) for name, v in values.items()}
+    over = lambda df: df.withColumns({name: c.over(Window.partitionBy("s", "u")) for name, c in least.items()})
+    if most < hot_rows:
+        return over(rows)
+    rows = checkpointed(rows)
+    sums = rows.groupBy("s", "u").agg(F.count(F.lit(1)).alias("deg"), *(c.alias(name) for name, c in least.items()))
+    hot = hottest(sums.select("s", "u", "deg"), "deg", hot_rows)
+    if hot is None:
+        return over(rows)
+    hot = F.broadcast(hot)
+    warm = rows.join(hot, ["s", "u"], "left_semi").join(F.broadcast(sums.drop("deg").join(hot, ["s", "u"], "left_semi")), ["s", "u"])
+    return over(rows.join(hot, ["s", "u"], "left_anti")).unionByName(warm)
 
 
 def group_matches(pairs: DataFrame, left: str, right: str, scope: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -22,45 +40,40 @@ def group_matches(pairs: DataFrame, left: str, right: str, scope: str | None = N
     vertex it knows, while the leasts it knows are linked to one another and go on. Each round leaves far fewer
     vertices, so the rounds grow with the logarithm of the longest chain. What never drops out is a seed, the least
     of its group. Seed ids then flow down the forest, latest round first: a parent drops out later than its children,
-    so one join a round labels them all.
+    so one join a round labels them all, and a round adds its labels to those there without writing them again.
 
-    ``scope`` separates id spaces that overlap. Every state is aggregated before it is shuffled, kept distinct and
-    stored in the checkpoint folder; vertices of very high degree are joined by broadcasting their one row.
+    A round is one job and one table in the checkpoint folder: links once each way by vertex, what the vertices know
+    (distinct, combined before the shuffle) by vertex, the links that remain. ``scope`` separates id spaces that
+    overlap. Vertices of very high degree keep their rows in place (``_with_least``).
 
     Pairs with a null side or scope and pairs of a record with itself link nothing; repeats and both directions count
     once; an empty table gives an empty result; other columns of ``pairs`` are ignored, whatever their names.
     """
     s = F.col(scope) if scope else F.lit("")
-    e = pairs.select(s.alias("s"), F.col(left).cast("long").alias("a"), F.col(right).cast("long").alias("b"))
-    e = e.where(F.col("s").isNotNull() & F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    edges = checkpointed(_both_ways(e.select("s", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+    e = pairs.select(s.alias("s"), F.col(left).cast("long").alias("x"), F.col(right).cast("long").alias("y"))
+    e = e.where(F.col("s").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull() & (F.col("x") != F.col("y")))
+    links = checkpointed(e.select("s", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     forest: list[DataFrame] = []
-    while not edges.isEmpty():
-        least = edges.groupBy("s", "u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("deg"))
+    while n := links.count():
+        each = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")
         # min selection: u sends the least of its neighbourhood to all of it, itself included
-        sent = lookup_join(edges, least.drop("deg"), ["s", "u"], "inner", hot=_hot(least, ["s", "u"], hot_rows)).select("s", F.col("v").alias("u"), "m")
-        known = checkpointed(sent.unionByName(least.select("s", "u", "m")).distinct())
-        top = known.groupBy("s", "u").agg(F.min("m").alias("top"), F.max(F.col("m") == F.col("u")).alias("stays"), F.count(F.lit(1)).alias("deg"))
+        edges = _with_least(links.select("s", each).select("s", "e.*"), {"m": "v"}, 2 * n, hot_rows).withColumn("m", F.least("m", "u"))
+        known = edges.select("s", F.explode(F.array(F.struct(F.col("v").alias("u"), "m"), F.struct("u", "m"))).alias("e")).select("s", "e.*").distinct()
+        # u is somebody's least if its own id was sent to it
+        own = known.withColumn("own", F.when(F.col("m") == F.col("u"), F.col("u")))
+        judged = checkpointed(_with_least(own, {"top": "m", "stays": "own"}, 4 * n, hot_rows))
         # pruning: who is nobody's least leaves the graph and hangs under the least it knows
-        forest.append(top.where(~F.col("stays")).select("s", "u", F.col("top").alias("parent")))
-        linked = lookup_join(known, top.drop("stays", "deg"), ["s", "u"], "inner", hot=_hot(top, ["s", "u"], hot_rows))
-        edges = checkpointed(_both_ways(linked.where(F.col("m") != F.col("top")).select("s", F.col("top").alias("a"), F.col("m").alias("b"))))
-    labels = None
+        forest.append(judged.where("stays IS NULL AND m = top").select("s", "u", F.col("top").alias("parent")))
+        links = judged.where("m <> top").select("s", F.col("top").alias("a"), F.col("m").alias("b")).distinct()
+    labels: list[DataFrame] = []
     for tree in reversed(forest):
-        if labels is None:
-            labels = tree.withColumnRenamed("parent", "label")
+        if labels:
+            above = reduce(DataFrame.unionByName, labels).select("s", F.col("u").alias("parent"), "label")
+            tree = lookup_join(tree, above, ["s", "parent"], "left", hot_rows=hot_rows).select("s", "u", F.coalesce("label", "parent").alias("label"))
+            labels.append(checkpointed(tree))
         else:
-            above = labels.select("s", F.col("u").alias("parent"), "label")
-            down = lookup_join(tree, above, ["s", "parent"], "left", hot_rows=hot_rows).select("s", "u", F.coalesce("label", "parent").alias("label"))
-            labels = checkpointed(labels.unionByName(down))
-    if labels is None:
-        labels = edges.select("s", "u", F.col("v").alias("label"))
-    out = labels.unionByName(labels.select("s", F.col("label").alias("u"), "label").distinct())
+            labels.append(tree.withColumnRenamed("parent", "label"))
+    found = reduce(DataFrame.unionByName, labels) if labels else links.select("s", F.col("a").alias("u"), F.col("b").alias("label"))
+    out = found.unionByName(found.select("s", F.col("label").alias("u"), "label").distinct())
     named = [F.col("s").alias(scope)] if scope else []
     return out.select(*named, F.col("u").alias("record_id"), F.col("label").alias("group_id"))
-
-
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    """Distinct (s, u, v) for each pair (s, a, b) and its reverse."""
-    once = pairs.distinct()
-    return once.select("s", F.col("a").alias("u"), F.col("b").alias("v")).unionByName(once.select("s", F.col("b").alias("u"), F.col("a").alias("v")))
