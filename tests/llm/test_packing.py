@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from kgspark.llm.packing import fill_report, pack, plan
+from kgspark.llm.packing import fill_report, pack, sweep
 from kgspark.llm.tokens import DEFAULT_PATH, counter, with_token_counts
 
 
@@ -31,23 +31,52 @@ def check(rows, sizes, capacity):
     return len(load)
 
 
-def test_plan_small():
+def by_hand(items, gaps):
+    """Best fit item by item: the gaps that remain (which of equal ones an item takes doesn't matter), the items left."""
+    room = sorted([g, b + i] for g, b, n, _ in gaps for i in range(n))
+    left = []
+    for s in sorted((s for s, _, n in items for _ in range(n)), reverse=True):
+        hit = next((r for r in room if r[0] >= s), None)
+        if hit:
+            hit[0] -= s
+            room.sort()
+        else:
+            left.append(s)
+    return sorted(g for g, _ in room if g), sorted(left)
+
+
+def test_sweep_is_best_fit():
     random.seed(4)
     for _ in range(500):
         cap = random.randint(4, 60)
-        hist = {random.randint(1, cap): random.randint(1, 9) for _ in range(random.randint(1, 12))}
-        moves, bins = plan(hist, cap)
-        load, seen = defaultdict(int), set()
-        for s, first, n, b, _ in moves:
+        items = [(s, random.randint(0, 5), random.randint(1, 9)) for s in random.sample(range(1, cap + 1), random.randint(1, 4))]
+        gaps, at = [], 0
+        for g in random.sample(range(1, cap + 1), random.randint(0, 4)):
+            n = random.randint(1, 4)
+            gaps.append((g, at, n, 1))
+            at += n
+        moves, left, rest = sweep(items, gaps)
+        load, seen, places = defaultdict(list), [], set()
+        for s, first, n, box, place, per in moves:
             for i in range(n):
-                load[b + i] += s
-                assert (s, first + i) not in seen
-                seen.add((s, first + i))
-        assert max(load.values()) <= cap and len(load) == bins and seen == {(s, i) for s, n in hist.items() for i in range(n)}
-        assert bins <= 1.5 * -(-sum(s * n for s, n in hist.items()) // cap) + 1
-    with pytest.raises(ValueError):
-        plan({11: 1}, 10)
-    assert plan({}, 10) == ([], 0)
+                load[box + i // per].append(s)
+                seen.append((s, first + i))
+                assert (box + i // per, place + i % per) not in places
+                places.add((box + i // per, place + i % per))
+        seen += [(s, r + i) for s, r, n in left for i in range(n)]
+        assert sorted(seen) == sorted((s, r + i) for s, r, n in items for i in range(n))
+        room = {b + i: g for g, b, n, _ in gaps for i in range(n)}
+        assert sorted((room[b + i] - sum(load[b + i]), b + i) for b, n in ((b, n) for _, b, n, _ in gaps) for i in range(n) if room[b + i] > sum(load[b + i])) == sorted((g, b + i) for g, b, n, _ in rest for i in range(n))
+        assert all(s > max((g for g, _, n, _ in rest if n), default=0) for s, _, _ in left)
+        assert (sorted(g for g, _, n, _ in rest for _ in range(n)), sorted(s for s, _, n in left for _ in range(n))) == by_hand(items, gaps)
+    assert sweep([], []) == ([], [], [])
+
+
+def test_large_capacity(spark):
+    df = spark.range(3000).selectExpr("id AS key", "1 + (id * 7919) % 131072 AS size")
+    rows = pack(df, key="key", size="size", capacity=131_072).collect()
+    sizes = {i: 1 + i * 7919 % 131072 for i in range(3000)}
+    assert check(rows, sizes, 131_072) <= 1.01 * sum(sizes.values()) / 131_072 + 1
 
 
 def test_frame(spark):
