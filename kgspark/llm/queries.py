@@ -54,45 +54,44 @@ def p2_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return p2_found(spark, sf).groupBy("field_name", (F.col("entry") == "UNMATCHED").alias("unmatched")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def _candidates(spark: SparkSession, sf: str, bundles: dict[str, str] | None) -> DataFrame:
-    """(id, row_id, bundle, n, trust, time, vals): what each row offers of each bundle; source_pmids is a bundle too."""
-    nodes, trust = table(spark, sf, "graph_nodes"), table(spark, sf, "source_trust").groupBy("source").agg((-F.min("trust_rank")).alias("trust"))
-    base = nodes.select("id", "row_id", "source", F.col("updated_at").alias("time"), "properties", "source_pmids").join(F.broadcast(trust), "source", "left")
-    pmids = F.array_distinct(F.filter(F.transform("source_pmids", lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", "")), lambda p: p != ""))
-    keep = ["id", "row_id", "trust", "time"]
-    props = base.select(*keep, F.explode("properties").alias("k", "v")).where(stated(F.col("v")))
+def _offers(spark: SparkSession, sf: str, bundles: dict[str, str] | None) -> DataFrame:
+    """(id, row_id, bundle, m0..m3, vals): what each row offers of each bundle, in one pass over the nodes.
+
+    source_pmids is a bundle too; a list of sources counts by its length first, anything else by trust, then by
+    completeness. A null bundle stands for the row itself.
+    """
+    # trust is a fixed table of a few rows
+    trust = table(spark, sf, "source_trust").groupBy("source").agg((-F.min("trust_rank")).alias("trust"))
+    base = table(spark, sf, "graph_nodes").select("id", "row_id", "source", "updated_at", "properties", "source_pmids").join(F.broadcast(trust), "source", "left")
+    pmids = F.coalesce(F.size(F.array_distinct(F.filter(F.transform("source_pmids", lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", "")), lambda p: p != ""))), F.lit(0))
+    given = F.map_filter("properties", lambda k, v: stated(v))
+    offer = lambda b, m0, m2, vals: F.struct(b.alias("bundle"), m0.cast("int").alias("m0"), m2.cast("int").alias("m2"), vals.cast("map<string,string>").alias("vals"))
+    none = F.lit(None)
     if bundles is None:
-        offers = props.select(*keep, F.concat(F.lit("="), "k").alias("bundle"), F.lit(0).alias("n"), F.lit(None).cast("map<string,string>").alias("vals"))
+        props = F.transform(F.map_keys("given"), lambda k: offer(F.concat(F.lit("="), k), F.lit(0), F.lit(0), none))
     else:
-        named = F.coalesce(*(F.when(F.col("k") == k, F.lit(b)) for k, b in bundles.items()), F.col("k"))
-        offers = props.groupBy(*keep, F.concat(F.lit("="), named).alias("bundle")).agg(F.count(F.lit(1)).cast("int").alias("n"), F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("vals"))
-    lists_ = base.select(*keep, F.lit("source_pmids").alias("bundle"), F.size(pmids).alias("n"), F.lit(None).cast("map<string,string>").alias("vals")).where("n > 0")
-    return offers.unionByName(lists_)
-
-
-def _merits(offers: DataFrame) -> DataFrame:
-    """A list of sources counts by its length first, anything else by trust, then by completeness."""
-    lists_ = F.col("bundle") == "source_pmids"
-    return offers.select("id", "row_id", "bundle", "vals", F.when(lists_, F.col("n")).otherwise(0).alias("m0"), F.col("trust").alias("m1"), F.when(lists_, 0).otherwise(F.col("n")).alias("m2"), F.col("time").alias("m3"))
-
-
-def _of_several(spark: SparkSession, sf: str, chosen: DataFrame) -> DataFrame:
-    several = table(spark, sf, "graph_nodes").groupBy("id").agg((F.min("row_id") < F.max("row_id")).alias("several")).where("several").select("id")
-    return chosen.join(several, "id", "left_semi")
+        of = F.create_map(*(F.lit(x) for kv in bundles.items() for x in kv))
+        named = lambda k: F.coalesce(F.element_at(of, k), k)
+        fields = lambda b: F.map_filter("given", lambda k, v: named(k) == b)
+        props = F.transform(F.array_distinct(F.transform(F.map_keys("given"), named)), lambda b: offer(F.concat(F.lit("="), b), F.lit(0), F.size(fields(b)), fields(b)))
+    lists_ = F.when(F.col("n") > 0, F.array(offer(F.lit("source_pmids"), F.col("n"), F.lit(0), none)))
+    row = F.array(offer(none.cast("string"), F.lit(0), F.lit(0), none))
+    empty = F.filter(row, lambda x: F.lit(False))
+    rows = base.withColumns({"given": given, "n": pmids})
+    long = rows.select("id", "row_id", "trust", "updated_at", F.explode(F.concat(row, F.coalesce(props, empty), F.coalesce(lists_, empty))).alias("o"))
+    return long.select("id", "row_id", "o.bundle", "o.vals", "o.m0", F.col("trust").alias("m1"), "o.m2", F.col("updated_at").alias("m3"))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """Row that supplies each property of a node given by several rows; every property is a bundle of its own."""
-    offers = _merits(_candidates(spark, sf, None))
-    chosen = choose_bundles(offers, group="id", row="row_id", bundle="bundle", merit=["m0", "m1", "m2", "m3"])
-    return _of_several(spark, sf, chosen).select("id", F.regexp_replace("bundle", "^=", "").alias("property_name"), "row_id")
+    chosen = choose_bundles(_offers(spark, sf, None), group="id", row="row_id", bundle="bundle", merit=["m0", "m1", "m2", "m3"], several=True)
+    return chosen.select("id", F.regexp_replace("bundle", "^=", "").alias("property_name"), "row_id")
 
 
 def p3_bundles(spark: SparkSession, sf: str) -> DataFrame:
     """Surviving nodes with dependent fields taken from one row together, under the dependencies between bundles."""
-    offers = _merits(_candidates(spark, sf, BUNDLES)).withColumn("m3", F.col("m3").cast("double"))
-    chosen = choose_bundles(offers, group="id", row="row_id", bundle="bundle", merit=["m0", "m1", "m2", "m3"], values="vals", dependencies=DEPENDENCIES)
-    return _of_several(spark, sf, chosen).select("id", F.regexp_replace("bundle", "^=", "").alias("bundle"), "row_id")
+    chosen = choose_bundles(_offers(spark, sf, BUNDLES), group="id", row="row_id", bundle="bundle", merit=["m0", "m1", "m2", "m3"], values="vals", dependencies=DEPENDENCIES, several=True)
+    return chosen.select("id", F.regexp_replace("bundle", "^=", "").alias("bundle"), "row_id")
 
 
 def _pieces(spark: SparkSession, sf: str) -> DataFrame:
