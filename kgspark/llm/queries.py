@@ -14,7 +14,7 @@ from .components import group_matches
 from .lookalikes import bigram_scores, consistent_forms, look_alike_pairs
 from .mixing import marginals, mix, shares
 from .packing import fill_report, pack
-from .splitting import split_items
+from .splitting import oversized_items, split_items
 from .survivors import choose_bundles, stated
 from .tokens import with_token_counts
 
@@ -94,24 +94,24 @@ def p3_bundles(spark: SparkSession, sf: str) -> DataFrame:
     return chosen.select("id", F.regexp_replace("bundle", "^=", "").alias("bundle"), "row_id")
 
 
-def _pieces(spark: SparkSession, sf: str) -> DataFrame:
+def _items(spark: SparkSession, sf: str) -> dict:
     articles, limits = table(spark, sf, "articles"), table(spark, sf, "size_limits")
     body = articles.select("document_id", F.lit("articles.body_text").alias("item_kind"), F.lit(-1).cast("long").alias("item_pos"), F.col("body_text").alias("text"))
     parts = articles.select("document_id", F.lit("articles.sections").alias("item_kind"), F.posexplode("sections").alias("p", "s"))
     parts = parts.select("document_id", "item_kind", F.col("p").cast("long").alias("item_pos"), F.col("s.section_text").alias("text"))
     # the limits are a fixed table of a few rows
     items = body.unionByName(parts).where("text IS NOT NULL").join(F.broadcast(limits.select("item_kind", "max_size", "overlap_size").dropDuplicates(["item_kind"])), "item_kind")
-    return split_items(items, keys=["document_id", "item_kind", "item_pos"], text="text", limit=F.col("max_size"), overlap=F.col("overlap_size"))
+    return {"items": items, "keys": ["document_id", "item_kind", "item_pos"], "text": "text", "limit": F.col("max_size"), "overlap": F.col("overlap_size")}
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Items above their limit and whether a stretch without a boundary forces a cut."""
-    return _pieces(spark, sf).where("piece_no = 0").select("document_id", "item_kind", "item_pos", "cut_kind")
+    return oversized_items(**_items(spark, sf)).select("document_id", "item_kind", "item_pos", "cut_kind")
 
 
 def p5_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """All pieces of the items above their limit, with their texts."""
-    return _pieces(spark, sf)
+    return split_items(**_items(spark, sf))
 
 
 def _sized(spark: SparkSession, sf: str, keep: list[str]) -> DataFrame:
