@@ -6,15 +6,13 @@ import re
 
 from pyspark.sql import DataFrame
 
-from .canonical import MAX_NAMES, Matcher, key_of, verb_forms
+from .canonical import DENIED, MAX_NAMES, Matcher, key_of, verb_forms
 
-# Texts that only say that nothing is known or look elsewhere.
-PLACEHOLDERS = ("n/a", "na", "n.a.", "none", "unknown", "unspecified", "not reported", "not available", "not applicable", "nil", "null", "nan", "-", "--", "?", "??", "???", ".", "tbd", "to be coded", "to be determined", "unclear", "other", "as above", "same as above", "see above", "see table", "mixed", "missing", "nd", "not determined", "pending")
-# Everyday words for the entries that the lists don't name.
+# Other words for the entries, beside those that the list names.
 WORDS = {
     "increased": ("augmented", "greater", "gain", "raised", "heightened", "enhanced", "improved", "grew", "risen", "rising", "upward", "larger", "more", "increment", "boosted"),
     "decreased": ("diminished", "smaller", "less", "lesser", "lowered", "fell", "fallen", "falling", "dropped", "drop", "reduction", "declined", "declining", "downward", "decrement", "depressed", "suppressed"),
-    "no_significant_change": ("comparable", "similar", "same", "equal", "stable", "unaffected", "unaltered", "did not change", "did not differ", "no change", "not changed", "not different", "not significantly different", "no significant difference", "no significant effect", "non significant", "nonsignificant", "not sig", "no sig", "no sig change", "no sig difference", "n.s.d.", "remained unchanged", "without effect"),
+    "no_significant_change": ("comparable", "similar", "same", "equal", "stable", "unaffected", "unaltered", "remained unchanged", "nonsignificant", "nsd"),
     "increases": ("elevates", "augments", "enhances", "higher"),
     "decreases": ("diminishes", "lessens", "lower", "reduction"),
     "upregulates": ("up-reg", "induces", "overexpresses"),
@@ -23,42 +21,62 @@ WORDS = {
     "depletes": ("depletion",),
     "affects": ("impacts", "regulates", "dysregulates", "deregulates"),
 }
-#: What is said not to rise or fall significantly doesn't change.
-DENIED = r"\b(?:no|not|without|non|didn t|did not)\b.{0,20}\b(?:increase|decrease|reduc|rise|rais|elevat|declin|chang|differ|effect|lower|higher|alter)"
+#: An entry of this name is what a denied change stands for: a denial before any of these words or another entry's
+#: names, with or without a word for its significance between.
+UNCHANGED = "no_significant_change"
+CHANGES = ("change", "changed", "difference", "different", "differ", "effect", "altered", "significant", "sig")
+DEGREES = ("", "significant", "significantly", "sig")
+
+
+def _rows(df: DataFrame) -> list:
+    """All rows of a reference list; one beyond MAX_NAMES rows is refused."""
+    rows = df.limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"the reference list has more than {MAX_NAMES} rows")
+    return rows
+
+
+def alias_paths(listed: list[str], known_as: dict[str, list[str]]) -> list[tuple[str, str]]:
+    """(name, entry) of everything that leads to the entries of one field: the entries, their other names, inflected forms
+    of those that are verbs, and denials of the other entries' names. Where names meet, the one given first stays."""
+    own: dict[str, str] = {}
+    names = {e: [e, *known_as[e], *WORDS.get(e, ())] for e in listed}
+    for e in listed:
+        own[key_of(e)] = e
+    for e in listed:
+        for x in known_as[e]:
+            own.setdefault(key_of(x), e)
+    for e in listed:
+        for x in names[e]:
+            own.setdefault(key_of(x), e)
+    for e in listed:
+        for x in names[e]:
+            if re.fullmatch(r"[a-z]{5,}", x):
+                for form in verb_forms(x):
+                    own.setdefault(key_of(form), e)
+    if UNCHANGED in listed:
+        for x in [*CHANGES, *(k for k, e in own.items() if e != UNCHANGED)]:
+            for d in DEGREES:
+                own.setdefault(DENIED + key_of(d + x), UNCHANGED)
+    return list(own.items())
 
 
 def value_matchers(canonical: DataFrame) -> tuple[dict[str, Matcher], dict[str, list[str]]]:
-    """Matchers and entries by field from canonical_values, a fixed list of a few rows (more than MAX_NAMES are refused)."""
-    rows = canonical.limit(MAX_NAMES + 1).collect()
-    names: dict[str, dict[str, str]] = {}
+    """Matchers and entries by field from canonical_values."""
     entries: dict[str, list[str]] = {}
-    for r in rows:
-        entries.setdefault(r["field_name"], []).append(r["entry"])
-    for field, listed in entries.items():
-        own: dict[str, str] = {}
-        given = {r["entry"]: [x for x in (r["known_as"] or []) if x] for r in rows if r["field_name"] == field}
-        for e in listed:
-            own[key_of(e)] = e
-        for e in listed:
-            for x in given[e]:
-                own.setdefault(key_of(x), e)
-        for e in listed:  # forms of the words themselves yield to what is listed
-            for x in [e, *given[e], *WORDS.get(e, ())]:
-                own.setdefault(key_of(x), e)
-        for e in listed:
-            for x in [e, *given[e], *WORDS.get(e, ())]:
-                if re.fullmatch(r"[a-z]{5,}", x):
-                    for form in verb_forms(x):
-                        own.setdefault(key_of(form), e)
-        names[field] = own
-    rules = {f: [(DENIED, "no_significant_change")] if "no_significant_change" in listed else [] for f, listed in entries.items()}
-    return {f: Matcher(own.items(), PLACEHOLDERS, rules=rules[f]) for f, own in names.items()}, entries
+    given: dict[str, dict[str, list[str]]] = {}
+    for r in _rows(canonical):
+        if r["field_name"] and r["entry"]:
+            known = given.setdefault(r["field_name"], {}).setdefault(r["entry"], [])
+            known += [x for x in (r["known_as"] or []) if x]
+            entries[r["field_name"]] = list(given[r["field_name"]])
+    return {f: Matcher(alias_paths(listed, given[f])) for f, listed in entries.items()}, entries
 
 
 def vocabulary_entries(vocabulary: DataFrame) -> list[tuple[str, str | None]]:
-    """(entry, abbreviation) of each item of the comma lists in ``names``; the list is bounded by MAX_NAMES."""
+    """(entry, abbreviation) of each item of the comma lists in ``names``."""
     out: dict[str, str | None] = {}
-    for r in vocabulary.select("names").limit(MAX_NAMES + 1).collect():
+    for r in _rows(vocabulary.select("names")):
         for item in (r["names"] or "").split(","):
             m = re.fullmatch(r"\s*(.*?)\s*(?:\(([^()]*)\))?\s*", item, re.S)
             if m and m[1]:
@@ -77,4 +95,4 @@ def vocabulary_matcher(vocabulary: DataFrame) -> tuple[Matcher, list[str]]:
         if m := re.fullmatch(r"([A-Z])[a-z]+ ([a-z]+)", e):
             short.setdefault(f"{m[1]} {m[2]}", set()).add(e)
     names += [(s, next(iter(e))) for s, e in short.items() if len(e) == 1]
-    return Matcher(names, PLACEHOLDERS), [e for e, _ in listed]
+    return Matcher(names), [e for e, _ in listed]

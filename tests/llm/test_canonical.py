@@ -27,12 +27,10 @@ def test_automaton_finds_all_within():
     word = lambda lo, hi: "".join(random.choice("abc") for _ in range(random.randint(lo, hi)))
     for _ in range(60):
         names = [word(1, 9) for _ in range(15)]
-        t = Trie()
-        for n in names:
-            t.add(n, n)
+        t = Trie((n, n) for n in names)
         for _ in range(10):
             k = word(0, 9)
-            for most in (1, 2, 3):
+            for most in (0, 1, 2, 3):
                 assert {e: d for e, (d, _) in t.within(k, most).items()} == {n: distance(n, k) for n in names if distance(n, k) <= most}
 
 
@@ -57,6 +55,7 @@ def test_values(frames):
         "increeased": "increased", "↑↑": "increased", "significantly increased (P<0.05)": "increased", "elevated vs. NC": "increased", "incr.": "increased", "UP ": "increased",
         "markedly decreased": "decreased", "was decreased": "decreased", "reduction": "decreased", "lower than control": "decreased", "Decreasde": "decreased",
         "n.s.": "no_significant_change", "no significant increase": "no_significant_change", "no_significat_chagne": "no_significant_change", "did not change": "no_significant_change",
+        "not significantly lower": "no_significant_change", "NO sig. difference vs. NC": "no_significant_change", "increased, then decreased": UNMATCHED, "see Table": UNMATCHED, "never lower": "no_significant_change",
         "mixed": UNMATCHED, "N/A": UNMATCHED, "see Table 4": UNMATCHED, "17.2": UNMATCHED, "U-shaped": UNMATCHED, "-": UNMATCHED,
     }.items():
         assert d(v) == e, v
@@ -75,6 +74,31 @@ def test_names(frames):
         assert m.match(v) == e, v
 
 
+def test_long_names_and_values(spark):
+    """Names of thousands of letters, sent to the workers; a value of thousands of words is searched whole."""
+    long = "ab" * 4000
+    m = Matcher([(long, "long"), ("zinc oxide", "zinc")])
+    assert m.match(long[:-3] + "x" + long[-2:]) == "long" and m.match("word " * 3000 + "zinc oxide") == "zinc"
+    df = spark.createDataFrame([(1, "f", long + "b"), (2, "f", "Zinc-oxide"), (3, "g", "zinc oxide")], "i long, f string, v string")
+    out = map_to_canonical(df, record="i", field="f", value="v", matchers={"f": m}, entries={"f": ["zinc oxide"]})
+    assert sorted((r["record_id"], r["entry"]) for r in out.collect()) == [(1, "long"), (2, "zinc")]
+
+
+def test_reference_list_beyond_the_bound_is_refused(spark, monkeypatch):
+    canon = spark.createDataFrame([("f", "e", ["x"])] * 4 + [("f", None, None)], "field_name string, entry string, known_as array<string>")
+    assert lists.value_matchers(canon)[1] == {"f": ["e"]}
+    monkeypatch.setattr(lists, "MAX_NAMES", 4)
+    with pytest.raises(ValueError, match="more than"):
+        lists.value_matchers(canon)
+
+
+def test_hot_spellings(spark, frames):
+    m, entries = lists.value_matchers(frames[0])
+    df = spark.createDataFrame([(i, "direction", "UP" if i % 3 else f"decreasd{i}") for i in range(90)], "i long, f string, v string")
+    a, b = (map_to_canonical(df, record="i", field="f", value="v", matchers=m, entries=entries, hot_rows=n) for n in (5, 10**9))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
 def test_ambiguous():
     m = Matcher([("alphaxin", "a"), ("alphaxon", "b"), ("same", "c"), ("same", "d")])
     assert m.match("alphaxan") == UNMATCHED and m.match("same") == UNMATCHED
