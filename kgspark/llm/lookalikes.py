@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import HOT_ROWS, hottest, lookup_join
 from ..session import checkpointed
 
 # Letters of other scripts that are printed like a Latin letter, beside that letter.
@@ -214,47 +215,83 @@ def _add(pieces: Counter, total: Counter) -> None:
                 total[w[i : i + 2]] += k
 
 
+#: A worker's memory of words and pieces, by model; it lasts from task to task.
+_MEMORY: dict[int, dict] = {}
+
+
 def consistent_forms(docs: DataFrame, text: str, out: str = "form", scores: Mapping[str, float] | None = None) -> DataFrame:
     """``docs`` with a column ``out`` that holds each text's consistent form.
 
     Compatibility normalization (of the kinds that keep the printed form) and deletion of ignorable characters come
     first; then every word's lattice of look-alike letters is searched with Viterbi under script-consistent character
     bigram scores. The lattice depends on the printed form alone and a path keeps it, so texts have equal forms if and
-    only if they look the same. Words are memoised per Python worker. Null stays null, '' stays ''; whole texts are
-    read whatever their length; other columns pass through. One pass, no shuffle; counting the bigrams is another.
+    only if they look the same. Words are remembered by each Python worker. Null stays null, '' stays ''; whole texts
+    are read whatever their length; other columns pass through. One pass, no shuffle; counting the bigrams is another.
     """
-    model = dict(scores if scores is not None else bigram_scores(docs, text))
-    memo: dict = {}
+    model = docs.sparkSession.sparkContext.broadcast(dict(scores if scores is not None else bigram_scores(docs, text)))
 
     @F.pandas_udf("string")
     def form(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else consistent(t, model, memo))
+        known = model.value
+        memo = _MEMORY.setdefault(id(known), {})
+        return texts.map(lambda t: None if t is None else consistent(t, known, memo))
 
     return docs.withColumn(out, form(F.col(text)))
 
 
-def look_alike_pairs(docs: DataFrame, key: str, text: str, scores: Mapping[str, float] | None = None) -> DataFrame:
-    """(a, b), a < b: rows whose texts are different strings with the same consistent form.
+def _spelt(docs: DataFrame, key: str, text: str, scores: Mapping[str, float] | None, hot_rows: int) -> DataFrame:
+    """(k, form, spelt, n), once each and stored, of every row whose form is spelt in several ways; n rows spell it so.
 
-    Python returns 128-bit hashes of form and text, so no text is shuffled. Rows meet by distinct spelling, not by row:
-    the spellings of a form are paired first and then joined to their rows, so a form or a text held by a third of all
-    rows is never compared with itself, and only true pairs are made. Null keys or texts are in no pair; repeated rows
-    count once.
+    Python returns 128-bit hashes of form and text, so no text is shuffled. Rows are counted by spelling on the map side
+    and look their spelling up, those of hot spellings where they lie; what is alone in its form goes no further.
     """
-    model = dict(scores if scores is not None else bigram_scores(docs, text))
-    memo: dict = {}
+    model = docs.sparkSession.sparkContext.broadcast(dict(scores if scores is not None else bigram_scores(docs, text)))
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = lambda s: hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        code = lambda s: hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        known = model.value
+        memo = _MEMORY.setdefault(id(known), {})
         for pdf in batches:
-            yield pd.DataFrame({"k": pdf["k"], "form": [code(consistent(t, model, memo)) for t in pdf["t"]], "spelt": [code(t) for t in pdf["t"]]})
+            yield pd.DataFrame({"k": pdf["k"], "form": [code(consistent(t, known, memo)) for t in pdf["t"]], "spelt": [code(t) for t in pdf["t"]]})
 
     base = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).where("k IS NOT NULL AND t IS NOT NULL")
-    rows = checkpointed(base.mapInPandas(mark, "k long, form string, spelt string"))
+    rows = checkpointed(base.mapInPandas(mark, "k long, form binary, spelt binary"))
     spellings = rows.groupBy("form", "spelt").agg(F.count(F.lit(1)).alias("n"))
-    several = spellings.groupBy("form").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("form")
-    s = checkpointed(spellings.join(several, "form", "left_semi").select("form", "spelt"))
-    met = s.select("form", F.col("spelt").alias("x")).join(s.select("form", F.col("spelt").alias("y")), "form").where("x < y").select("x", "y")
-    mine = rows.join(s.select("spelt"), "spelt", "left_semi").select("k", "spelt").distinct()
-    out = met.join(mine.select(F.col("k").alias("a"), F.col("spelt").alias("x")), "x").join(mine.select(F.col("k").alias("b"), F.col("spelt").alias("y")), "y")
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    forms = spellings.groupBy("form").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1").select("form")
+    several = checkpointed(spellings.join(forms, "form"))
+    on = ["form", "spelt"]
+    return checkpointed(lookup_join(rows, several, on, "inner", hot=hottest(several.select(*on, "n"), "n", hot_rows)).distinct())
+
+
+def look_alike_pairs(docs: DataFrame, key: str, text: str, scores: Mapping[str, float] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(a, b), a < b: rows whose texts are different strings with the same consistent form.
+
+    Rows meet by distinct spelling, not by row: the spellings of a form are paired first, and a form or a text held by a
+    third of all rows is never compared with itself; only true pairs are made. A spelling of very many rows is dealt out
+    to as many cells as it has ``hot_rows`` rows, and two spellings meet cell by cell, so no task gets all rows of
+    either. Null keys or texts are in no pair; repeated rows count once.
+    """
+    rows = _spelt(docs, key, text, scores, hot_rows).withColumn("n", F.ceil(F.col("n") / hot_rows).cast("int"))
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("k"), F.col("n")).cast("int"))
+    s = rows.select("form", "spelt", "n").distinct()
+    met = s.select("form", F.col("spelt").alias("x"), F.col("n").alias("nx")).join(s.select("form", F.col("spelt").alias("y"), F.col("n").alias("ny")), "form").where("x < y")
+    met = met.select("x", "y", "nx", F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("j")).select("x", "y", "j", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("i"))
+    met = checkpointed(met)
+    left = met.join(rows.select(F.col("spelt").alias("x"), F.col("cell").alias("i"), F.col("k").alias("a")), ["x", "i"])
+    right = met.join(rows.select(F.col("spelt").alias("y"), F.col("cell").alias("j"), F.col("k").alias("b")), ["y", "j"])
+    return left.join(right, ["x", "y", "i", "j"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def look_alike_classes(docs: DataFrame, key: str, text: str, scores: Mapping[str, float] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(k, class_id, n_links): one row for each row that looks like another but is spelt differently.
+
+    class_id is the least key of all rows that look the same; n_links counts those of them with another text. The rows of
+    ``look_alike_pairs`` without its pairs, whose number grows with the square of a class. Nulls and repeats as there.
+    """
+    rows = _spelt(docs, key, text, scores, hot_rows)
+    ways = rows.groupBy("form", "spelt").agg(F.count(F.lit(1)).alias("same"), F.min("k").alias("k0"), F.max("n").alias("n"))
+    forms = ways.groupBy("form").agg(F.sum("same").alias("alike"), F.min("k0").alias("class_id"))
+    found = checkpointed(ways.join(forms, "form").select("form", "spelt", "n", "class_id", (F.col("alike") - F.col("same")).alias("n_links")))
+    on = ["form", "spelt"]
+    out = lookup_join(rows.drop("n"), found.drop("n"), on, "inner", hot=hottest(found.select(*on, "n"), "n", hot_rows))
+    return out.select("k", "class_id", "n_links")

@@ -11,7 +11,7 @@ from ..session import checkpointed, table
 from . import lists
 from .canonical import map_to_canonical
 from .components import group_matches
-from .lookalikes import bigram_scores, consistent_forms, look_alike_pairs
+from .lookalikes import bigram_scores, consistent_forms, look_alike_classes, look_alike_pairs
 from .mixing import marginals, mix, shares
 from .packing import fill_report, pack
 from .splitting import oversized_items, split_items
@@ -159,6 +159,11 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
 
 
+def p8_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Class of every document whose look another document has in different characters, and how many have."""
+    return look_alike_classes(table(spark, sf, "documents"), "doc_id", "text").select(F.col("k").alias("doc_id"), "class_id", "n_links")
+
+
 def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's text in its consistent form."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -166,4 +171,4 @@ def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_group_sizes, p2_found, p2_unmatched, p3_found, p3_bundles, p5_found, p5_pieces, p6_packed, p6_fill, p7_mixture, p7_shares, p7_marginals, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_group_sizes, p2_found, p2_unmatched, p3_found, p3_bundles, p5_found, p5_pieces, p6_packed, p6_fill, p7_mixture, p7_shares, p7_marginals, p8_found, p8_classes, p8_forms)}

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kgspark.llm.lookalikes import CYRILLIC, GREEK, bigram_scores, consistent, consistent_forms, look_alike_pairs, skeleton, viterbi
+from kgspark.llm.lookalikes import CYRILLIC, GREEK, bigram_scores, consistent, consistent_forms, look_alike_classes, look_alike_pairs, skeleton, viterbi
 
 SAME = [
     ("Dietary thymol", "Dіеtаrу thуmоl"), ("naïve é", unicodedata.normalize("NFD", "naïve é")), ("the (P < 0.01).", "ｔｈｅ （Ｐ < ０．０１）．"), ("a b", "a b"), ("a b", "a b"), ("feed-to-gain", "feed‐to‑gain"),
@@ -52,3 +52,16 @@ def test_frame(spark):
     assert look_alike_pairs(df.limit(0), "a", "text").count() == 0
     forms = {r["a"]: r["out"] for r in consistent_forms(df, "text", "out").collect()}
     assert forms[5] is None and forms[6] == "" == forms[7] and forms[1] == forms[2] and len(forms[9]) == 30000
+
+
+def test_hot_spellings_and_classes(spark):
+    rows = [(i, "Dietary thymol" if i % 3 else "Dіеtary thymol") for i in range(60)] + [(100, "Diet­ary thymol"), (101, "unique"), (102, None), (100, "Diet­ary thymol")]
+    df = spark.createDataFrame(rows, "a long, text string")
+    base = {k: t for k, t in rows if t is not None}
+    want = sorted((x, y) for x, y in itertools.combinations(sorted(base), 2) if base[x] != base[y] and skeleton(base[x]) == skeleton(base[y]))
+    links = {k: sum(k in p for p in want) for k in base}
+    for hot in (3, 10**9):
+        assert sorted(map(tuple, look_alike_pairs(df, "a", "text", hot_rows=hot).collect())) == want
+        got = sorted(map(tuple, look_alike_classes(df, "a", "text", hot_rows=hot).collect()))
+        assert got == sorted((k, 0, n) for k, n in links.items() if n)
+    assert look_alike_classes(df.limit(0), "a", "text").count() == 0
