@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import ordered_totals
@@ -28,53 +29,74 @@ def rake(cells: DataFrame, sources: DataFrame, others: Sequence[str], tolerance:
     cap) and are scaled to the marginals of each of ``others`` (the shares its values have among all tokens that can be
     mixed) and of the sources in turn, never above the source's cap. It goes on until no value's uncapped cells miss its
     marginal by more than ``tolerance``, or a round moves less than the part ``still`` of the mixture's tokens (caps can
-    make the marginals impossible together); the number of rounds has no limit. The source comes last in each round: its
-    share is the one demanded. The cells, whose number doesn't depend on that of the documents, are raked on the driver
-    if they are few (``CELLS``).
+    make the marginals impossible together); the number of rounds has no limit, and an end of the second kind is warned
+    of with the greatest miss (``marginals`` reports them all). The source comes last in each round: its share is the one
+    demanded, and in the end each source is scaled to it as nearly as its cap lets it. The cells, whose number doesn't
+    depend on that of the documents, are raked on the driver if they are few (``CELLS``).
     """
-    state = cells.join(F.broadcast(sources), "source").withColumn("weight", F.lit(0.0))
-    total = F.sum("target").alias("t")
-    wanted = state.groupBy("source").agg(F.first("target").alias("target"), F.sum("tokens").alias("have"))
-    mass = wanted.agg(total).first()["t"]
+    state = checkpointed(cells.join(F.broadcast(sources.withColumn("cap", F.coalesce("cap", F.lit(float("inf"))))), "source").withColumn("weight", F.lit(0.0)))
+    totals = state.groupBy("source").agg(F.first("target").alias("target"), F.sum("tokens").alias("have")).collect()  # one row for each listed source
+    mass, everything = sum(r["target"] or 0.0 for r in totals), sum(r["have"] for r in totals)
     if not mass:
         return state
-    state = state.join(F.broadcast(wanted.select("source", (F.col("target") / F.col("have")).alias("f"))), "source").withColumn("weight", F.least("cap", "f")).drop("f")
-    everything = state.agg(F.sum("tokens").alias("n")).first()["n"]
-    state = checkpointed(state)
     rows = state.orderBy("source", *others).limit(CELLS + 1).toPandas()
     if len(rows) <= CELLS:
-        rows["weight"] = _rake_rows(rows, others, mass / everything, tolerance, still)
+        rows["weight"], miss = _rake_rows(rows, others, mass / everything, tolerance, still)
         state = state.sparkSession.createDataFrame(rows, state.schema)
     else:
-        state = _rake_cells(state, others, mass / everything, tolerance, still * mass)
-    return _reach(state)
+        state, miss = _rake_cells(state, others, mass / everything, tolerance, still * mass)
+    if miss > tolerance:
+        warnings.warn(f"caps keep the mixture from meeting all marginals; the greatest miss is {miss:.2%}", stacklevel=2)
+    return state
 
 
-def _rake_rows(rows: pd.DataFrame, others: Sequence[str], part: float, tolerance: float, still: float) -> np.ndarray:
-    tokens, cap, target, w = (rows[c].to_numpy(float) for c in ("tokens", "cap", "target", "weight"))
+def _rake_rows(rows: pd.DataFrame, others: Sequence[str], part: float, tolerance: float, still: float) -> tuple[np.ndarray, float]:
+    tokens, cap, target = (rows[c].to_numpy(float) for c in ("tokens", "cap", "target"))
     dims = []
     for c in [*others, "source"]:
         code, values = pd.factorize(rows[c])
-        want = np.zeros(len(values))
+        want = np.bincount(code, tokens, len(values)) * part
         if c == "source":
             want[code] = target
-        else:
-            want = np.bincount(code, tokens, len(values)) * part
         dims.append((c, code, want))
-    mass = np.nansum(dims[-1][2])
+    _, code, want = dims[-1]
+    w = np.minimum(cap, (want / np.bincount(code, tokens, len(want)))[code])
     while True:
         before, miss = w, 0.0
         for c, code, want in dims:
             now = np.bincount(code, tokens * w, len(want))
             f = np.divide(want, now, out=np.ones(len(want)), where=now > 0)[code]
-            w = np.fmin(cap, w * f)  # as least() does, a missing cap is none
+            w = np.minimum(cap, w * f)
             if c != "source":
                 miss = max(miss, np.abs(f - 1)[w < cap].max(initial=0.0))
-        if miss <= tolerance or (tokens * np.abs(w - before)).sum() <= still * mass:
-            return w
+        if miss <= tolerance or (tokens * np.abs(w - before)).sum() <= still * want.sum():
+            break
+    _, code, want = dims[-1]
+    for k, t in enumerate(want):
+        own = np.flatnonzero(code == k)
+        w[own] = np.minimum(cap[own], w[own] * _factor(tokens[own], w[own], cap[own], t))
+    return w, miss
 
 
-def _rake_cells(state: DataFrame, others: Sequence[str], part: float, tolerance: float, least: float) -> DataFrame:
+def _factor(tokens: np.ndarray, w: np.ndarray, cap: np.ndarray, target: float) -> float:
+    """The factor at which the tokens of cells, each weighed up to its cap, add up to the target; all caps if none is enough.
+
+    Between the factors at which a cell meets its cap the sum is a straight line, so it is solved on the line it is on.
+    """
+    meets = np.divide(cap, w, out=np.full(len(w), np.inf), where=w > 0)
+    order = np.argsort(meets, kind="stable")
+    with np.errstate(invalid="ignore"):
+        capped = np.concatenate([[0.0], np.cumsum(np.where(np.isfinite(meets[order]), tokens[order] * cap[order], 0.0))])
+    free = np.concatenate([np.cumsum((tokens * w)[order][::-1])[::-1], [0.0]])
+    for i in range(len(order)):
+        if free[i] > 0 and (f := (target - capped[i]) / free[i]) <= meets[order[i]]:
+            return max(f, 0.0)
+    return float(meets[np.isfinite(meets)].max(initial=1.0))
+
+
+def _rake_cells(state: DataFrame, others: Sequence[str], part: float, tolerance: float, least: float) -> tuple[DataFrame, float]:
+    first = state.groupBy("source").agg(F.first("target").alias("want"), F.sum("tokens").cast("double").alias("now"))
+    state = checkpointed(_scale(state.withColumn("weight", F.lit(1.0)), F.broadcast(first), "source").drop("f"))
     while True:
         state = state.withColumn("miss", F.lit(0.0)).withColumn("before", F.col("weight"))
         for dim in others:
@@ -85,28 +107,37 @@ def _rake_cells(state: DataFrame, others: Sequence[str], part: float, tolerance:
         r = state.agg(F.max("miss").alias("miss"), F.sum(F.col("tokens") * F.abs(F.col("weight") - F.col("before"))).alias("moved")).first()
         state = state.drop("miss", "before")
         if (r["miss"] or 0.0) <= tolerance or r["moved"] <= least:
-            return state
+            return _reach(state), r["miss"] or 0.0
 
 
-def _reach(state: DataFrame, steps: int = 64, refinements: int = 3) -> DataFrame:
-    """Weights scaled so that each source reaches its target under its cap, as nearly as it can.
+def _reach(state: DataFrame, steps: int = 64, exact: float = 1e-9) -> DataFrame:
+    """Weights scaled so that each source reaches its target under its cap, as nearly as it can, by aggregates.
 
-    The factor is bracketed on a geometric grid: one aggregate gives the sums for all its steps, and the bracket is
-    refined a few times. There is one bracket per listed source.
+    The factor lies between target / sum, at which no cap would bind, and the factor at which the last cell meets its cap;
+    one aggregate gives the sums for a geometric grid between them, and the grid is refined until it is ``exact``. There
+    is one bracket per listed source.
     """
     spark = state.sparkSession
-    bracket = {r["source"]: (1e-4, 1e4, r["target"]) for r in state.select("source", "target").distinct().collect()}
+    meets = F.max(F.when((F.col("weight") > 0) & (F.col("cap") < float("inf")), F.col("cap") / F.col("weight")))
+    ends = state.groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("tokens") * F.col("weight")).alias("n"), meets.alias("hi")).where("n > 0 AND t > 0")
+    bracket = {r["source"]: (r["t"] / r["n"], max(r["hi"] or 0.0, r["t"] / r["n"]), r["t"]) for r in ends.collect()}
     grid = lambda k: F.col("lo") * F.pow(F.col("hi") / F.col("lo"), F.lit(k / (steps - 1)))
-    for _ in range(refinements):
+    while any(hi > lo * (1 + exact) for lo, hi, _ in bracket.values()):
         rows = spark.createDataFrame([(s, lo, hi) for s, (lo, hi, _) in bracket.items()], "source string, lo double, hi double")
         sums = state.join(F.broadcast(rows), "source").groupBy("source").agg(*(F.sum(F.col("tokens") * F.least(F.col("cap"), F.col("weight") * grid(k))).alias(f"s{k}") for k in range(steps)))
         for r in sums.collect():
             lo, hi, want = bracket[r["source"]]
             at = lambda k: lo * (hi / lo) ** (k / (steps - 1))  # noqa: B023, E731
-            k = next((k for k in range(steps) if r[f"s{k}"] >= want), steps - 1)
-            bracket[r["source"]] = (at(max(k - 1, 0)), at(k), want)
+            k = next((k for k in range(steps) if r[f"s{k}"] >= want), None)
+            bracket[r["source"]] = (hi, hi, want) if k is None else (at(max(k - 1, 0)), at(k), want)
     rows = spark.createDataFrame([(s, hi) for s, (_, hi, _) in bracket.items()], "source string, f double")
-    return checkpointed(state.join(F.broadcast(rows), "source").withColumn("weight", F.least("cap", F.col("weight") * F.col("f"))).drop("f"))
+    return checkpointed(state.join(F.broadcast(rows), "source", "left").withColumn("weight", F.least("cap", F.col("weight") * F.coalesce("f", F.lit(1.0)))).drop("f"))
+
+
+def _label(name: str) -> Column:
+    """A label's cell: lower case without blanks at the ends, null apart from all; one longer than 64 characters by its hash."""
+    x = F.lower(F.trim(name))
+    return F.coalesce(F.concat(F.lit("="), F.when(F.char_length(x) <= 64, x).otherwise(F.sha2(x, 256))), F.lit(""))
 
 
 def _start(summed: DataFrame, tries: int = 32) -> DataFrame:
@@ -143,7 +174,7 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str, size: str, source: str
     """
     t = targets.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("source")).agg(F.sum(share).alias("share"), F.min(repeats).alias("cap"))
     labels = [f"l{i}" for i in range(len(others))]
-    base = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("tokens"), *(F.coalesce(F.concat(F.lit("="), F.lower(F.trim(c))), F.lit("")).alias(n) for c, n in zip(others, labels)))
+    base = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("tokens"), *(_label(c).alias(n) for c, n in zip(others, labels)))
     base = base.join(F.broadcast(t.select("source")), "source", "left_semi")
     cells = checkpointed(base.where("tokens > 0").groupBy("source", *labels).agg(F.sum("tokens").alias("tokens")))
     have = cells.groupBy("source").agg(F.sum("tokens").alias("have")).join(F.broadcast(t), "source").where("share > 0 AND cap > 0")

@@ -70,3 +70,29 @@ def test_marginals_reported(spark):
     m = mix(docs, spark.createDataFrame([("s", 1.0, 1)], "source string, target_share double, max_repeats int"), key="doc_id", size="n", others=["lang"])
     got = {r["value"]: r for r in marginals(m, docs, "doc_id", "n", ["lang"]).collect()}
     assert set(got) == {"en", "de", None} and all(abs(r[k] - 1 / 3) < 1e-3 for r in got.values() for k in ("wanted_share", "expected_share", "reached_share"))
+
+
+def test_factor_reaches_the_target_or_all_caps():
+    import numpy as np
+
+    random.seed(3)
+    for _ in range(300):
+        n = random.randint(1, 6)
+        tokens, w, cap = (np.array([random.choice([0.0, 0.5, 1.0, random.random() * 9]) for _ in range(n)]) for _ in range(3))
+        most = (tokens * np.where(w > 0, cap, 0)).sum()
+        target = random.random() * 1.3 * most + 1e-6
+        f = mixing._factor(tokens, w, cap, target)
+        got = (tokens * np.minimum(cap, w * f)).sum()
+        assert abs(got - min(target, most)) <= 1e-6 * max(target, 1), (tokens, w, cap, target, f)
+    assert mixing._factor(np.array([2.0]), np.array([1.0]), np.array([np.inf]), 5.0) == 2.5
+
+
+def test_impossible_marginals_are_warned_of(spark):
+    import pytest
+
+    cells = spark.createDataFrame([("a", "x", 100), ("a", "y", 100), ("b", "x", 900)], "source string, l0 string, tokens long")
+    sources = spark.createDataFrame([("a", 150.0, 1.0), ("b", 50.0, 1.0)], "source string, target double, cap double")
+    with pytest.warns(UserWarning, match="marginals"):
+        got = rake(cells, sources, ["l0"]).collect()
+    for s, t in (("a", 150.0), ("b", 50.0)):
+        assert abs(sum(r["tokens"] * r["weight"] for r in got if r["source"] == s) - t) < 1e-3
