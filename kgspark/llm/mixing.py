@@ -160,12 +160,11 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str, size: str, source: str
 
     The mixture's size is ``total``, or the most at which every source can reach its target share within its number
     of repeats. Weights are calibrated over (source, others) cells by ``rake``; then copies are drawn with those
-    expectations by systematic sampling: documents of a source are range-sorted by size and a hash of the key, weights
-    are added up along that order over the whole cluster, and a document has as many copies as its stretch holds whole
-    numbers; of 32 starting points the one nearest to the source's target is taken. So a source strays from its target
-    by less than its largest document's tokens, a
-    document's copies are its weight rounded up or down and never more than ``max_repeats``, and no draw depends on the
-    partitioning. Cells are joined back by a skew-safe lookup.
+    expectations by systematic sampling: documents of a source are range-sorted by cell, size and a hash of the key,
+    weights are added up along that order over the whole cluster, and a document has as many copies as its stretch holds
+    whole numbers; of 32 starting points the one nearest to the source's target is taken. So every cell has its number of
+    copies but for one, a document's copies are its weight rounded up or down and never more than ``max_repeats``, and
+    no draw depends on the partitioning. Cells are joined back by a skew-safe lookup.
 
     Sources not listed, and null ones, aren't part of the mixture; documents without tokens have no copies; null and
     differently written labels in ``others`` are values of their own (null is one value); a source listed twice counts
@@ -183,8 +182,8 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str, size: str, source: str
     sources = t.select("source", (F.col("share") * F.lit(float(mass))).alias("target"), F.col("cap").cast("double").alias("cap"))
     weights = rake(cells, sources, labels).select("source", *labels, "weight")
     weighed = lookup_join(base.where("tokens > 0"), weights, ["source", *labels], "inner")
-    weighed = weighed.select("key", "source", "tokens", F.floor(F.col("weight") * UNIT + F.lit(1e-6)).cast("long").alias("w"))
-    summed = checkpointed(ordered_totals(weighed, [F.desc("tokens"), F.xxhash64("key"), F.col("key")], {"before": F.col("w")}, within=["source"]))
+    weighed = weighed.select("key", "source", "tokens", *labels, F.floor(F.col("weight") * UNIT + F.lit(1e-6)).cast("long").alias("w"))
+    summed = checkpointed(ordered_totals(weighed, [*(F.col(c) for c in reversed(labels)), F.desc("tokens"), F.xxhash64("key"), F.col("key")], {"before": F.col("w")}, within=["source"]))
     summed = summed.join(F.broadcast(_start(summed)), "source").withColumn("b", F.col("before") + F.col("start"))
     copies = F.expr(f"(b + w) div {UNIT} - b div {UNIT}")
     drawn = summed.select("key", "source", "tokens", (F.col("w") / UNIT).alias("weight"), copies.alias("copies"))
