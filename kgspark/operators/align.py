@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import difflib
 import re
-from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -134,23 +134,23 @@ def _by_window(low: str, doc: Text, least: float = 0.6) -> tuple[int, int, str]
 
 
 def _by_words(low: str, doc: Text) -> tuple[int, int, str] | None:
-    words = list(dict.fromkeys(w for w in re.split(r"[\s_\-]+", low) if len(w) > 2))
-    if len(words) < 2:
-        return None
-    at = {w: list(_hits(doc.low, w)) for w in words}
-    reach, best = len(low) * 3, (0, -1, -1)
-    for w in words:
-        for p in at[w]:
-            end, covered = p + len(w), 1
-            for v in words:
-                if v != w and at[v]:
-                    i = bisect_left(at[v], end)
-                    q = min(at[v][max(0, i - 1) : i + 1], key=lambda z: abs(z - end))
-                    if abs(q - end) < reach:
-                        covered, end = covered + 1, max(end, q + len(v))
-            if covered > best[0]:
-                best = (covered, p, end)
-    return (best[1], best[2], FUZZY) if best[0] >= max(2, len(words) / 2) else None
+    """The shortest stretch of text, at most three times as long as the mention, with the most of its different words.
+
+    All places of all words lie in one sorted list, over which a window slides: it grows at the right and drops at the
+    left what is too far or comes again inside.
+    """
+    words = [w for w in dict.fromkeys(re.split(r"[\s_\-]+", low)) if len(w) > 2]
+    places = sorted((p, p + len(w), w) for w in words for p in _hits(doc.low, w)) if len(words) > 1 else []
+    inside: Counter = Counter()
+    left, best = 0, (0, 0, 0, 0)  # words, minus the length, minus the start, end
+    for start, end, w in places:
+        inside[w] += 1
+        while end - places[left][0] > 3 * len(low) or inside[places[left][2]] > 1:
+            inside[places[left][2]] -= 1
+            left += 1
+        n = sum(k > 0 for k in inside.values())
+        best = max(best, (n, places[left][0] - end, -places[left][0], end))
+    return (-best[2], best[3], FUZZY) if best[0] >= max(2, len(words) / 2) else None
 
 
 _OPEN = re.compile(r"[.!?](?=\s)|\n")

@@ -1,14 +1,17 @@
-"""Coreference within a document: alias maps and the greedy, order-dependent merge of name groups."""
+"""Coreference within a document: alias maps, pairs of names by joins, and one ordered pass over the pairs."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import coref_name, nonblank
+from ..functions.names import abbreviates, coref_name, nonblank, strip
+from .similarity import contained_pairs, near_pairs
 
 
 def alias_map(mentions: DataFrame, scope: Sequence[str], name: str, abbreviation: str) -> DataFrame:
@@ -30,86 +33,69 @@ def subset_aliases(mentions: DataFrame, scope: Sequence[str], name: str) -> Data
     return hit.groupBy(*scope, F.col("m").alias("alias")).agg(F.min_by("n", F.struct(F.char_length("n"), "n")).alias("canonical"))
 
 
-def _edits(a: str, b: str, most: int) -> bool:
-    if abs(len(a) - len(b)) > most:
-        return False
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        if min(row) > most:
-            return False
-    return row[-1] <= most
-
-
-def _initials_of(short: str, full: str) -> bool:
-    short, full = short.strip(), full.strip()
-    if not (1 <= len(short) <= 5 < len(full) and (short.isupper() or short.istitle())):
-        return False
-    if short.lower() in full.lower():
-        return True
-    words = full.split()
-    if len(words) < len(short):
-        return False
-    i = 0
-    for w in words:
-        if i < len(short) and w[0].upper() == short[i].upper():
-            i += 1
-    return i == len(short) or "".join(w[0] for w in words).upper().startswith(short.upper())
-
-
-def merge_names(names: Sequence[tuple[str, Sequence[str]]], fuzzy: bool = True, edits: int = 1, overlap: float = 0.6) -> dict[str, str]:
-    """Which group each key goes to; ``names`` are (key, texts) in the order they occur.
-
-    Two greedy passes over the keys in order: first keys within ``edits`` of an earlier group's key join it; then of
-    two groups, one key inside the other (at least ``overlap`` of its length) or the texts' abbreviation and full
-    name, the shorter key joins the longer. Greedy and not transitive, so the order decides, not the components.
-    """
-    to = {k: k for k, _ in names}
-    if not fuzzy:
-        return to
-    texts = {k: list(t) for k, t in names}
-    keys: list[str] = []
-    for k, _ in names:
-        near = next((g for g in keys if g and k and _edits(g, k, edits)), None)
-        if near is None:
-            keys.append(k)
-        else:
-            to[k] = near
-            texts[near] += texts[k]
-    gone: set[str] = set()
-    for i, a in enumerate(keys):
-        if a in gone:
-            continue
-        for b in keys[i + 1 :]:
-            if b in gone:
-                continue
-            short, long = sorted((a, b), key=len)
-            same = bool(short) and short in long and len(short) / len(long) >= overlap
-            if not same and not any(_initials_of(x, y) or _initials_of(y, x) for x in texts[a] for y in texts[b]):
-                continue
-            keep, lose = (a, b) if len(a) >= len(b) else (b, a)
-            to[lose] = keep
-            texts[keep] += texts[lose]
-            gone.add(lose)
-            if lose == a:
-                break
+def name_pairs(keys: DataFrame, texts: DataFrame, scope: Sequence[str], edits: int = 1, overlap: float = 0.6) -> DataFrame:
+    """(scope, a, b, way): keys of one scope that may name the same thing, each pair once.
 
-    def root(k: str) -> str:
+    way 'near' is at most ``edits`` edits, 'inside' is one key inside the other (at least ``overlap`` of its length),
+    'short' is a text of one (``texts``: scope, key, text) that abbreviates a text of the other. All three are equi-joins:
+    on segments, on substrings, and on an abbreviation's first letter among the letters of the full name.
+    """
+    ways = [near_pairs(keys, scope, "key", edits).withColumn("way", F.lit("near")), contained_pairs(keys, scope, "key", overlap).withColumn("way", F.lit("inside"))]
+    size = F.char_length(strip(F.col("text")))
+    short = texts.where(size.between(1, 5)).select(*scope, F.col("key").alias("a"), F.col("text").alias("__s"), F.lower(F.substring(strip(F.col("text")), 1, 1)).alias("__c"))
+    letters = F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("__c")
+    full = texts.where(size > 5).select(*scope, F.col("key").alias("b"), F.col("text").alias("__f"), letters)
+    met = short.join(full, [*scope, "__c"]).where((F.col("a") != F.col("b")) & abbreviates(F.col("__s"), F.col("__f")))
+    ways.append(met.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit("short").alias("way")).distinct())
+    return reduce(DataFrame.unionByName, ways)
+
+
+def merge_in_order(place: Mapping[str, int], pairs: Iterable[tuple[str, str, str]]) -> dict[str, str]:
+    """The group that each key goes to, by one pass over the pairs in the order of the keys.
+
+    Every key in turn joins the first group before it whose own key is near. Then every group in turn meets the later
+    groups it is paired with, in their order: that the keys lie in one another, or that any of their texts abbreviates
+    one. The shorter key goes into the longer (of equal ones the later); who takes another in meets its partners too,
+    from there on. Greedy and not transitive, so the order decides, not the components.
+    """
+    near, inside, short = defaultdict(set), defaultdict(set), defaultdict(set)
+    for a, b, way in pairs:
+        side = {"near": near, "inside": inside, "short": short}[way]
+        side[a].add(b)
+        side[b].add(a)
+    to: dict[str, str] = {}
+    for k in sorted(place, key=place.get):
+        before = [g for g in near[k] if to.get(g) == g]
+        to[k] = min(before, key=place.get, default=k)
+
+    def group(k: str) -> str:
         while to[k] != k:
             k = to[k]
         return k
 
-    return {k: root(k) for k in to}
+    partners = defaultdict(set)  # of each group: the keys that one of its texts is paired with
+    for k, g in to.items():
+        partners[g] |= short[k]
+    for g in sorted((k for k, h in to.items() if k == h), key=place.get):
+        now = place[g]
+        while to[g] == g:
+            later = [k for k in {group(k) for k in partners[g]} | inside[g] if to[k] == k and place[k] > now]
+            if not later:
+                break
+            k = min(later, key=place.get)
+            now = place[k]
+            keep, lose = (g, k) if len(g) >= len(k) else (k, g)
+            to[lose] = keep
+            partners[keep] |= partners[lose]
+    return {k: group(k) for k in to}
 
 
-def resolve(mentions: DataFrame, scope: Sequence[str], *, order: str, text: str, attribute: str | None = None, aliases: DataFrame | None = None, fuzzy: bool = True) -> DataFrame:
+def resolve(mentions: DataFrame, scope: Sequence[str], *, order: str, text: str, attribute: str | None = None, aliases: DataFrame | None = None, fuzzy: bool = True, edits: int = 1, overlap: float = 0.6) -> DataFrame:
     """The mentions with ``group_key``: the key of the group of mentions that name the same thing in their scope.
 
-    Aliases are looked up by equi-join; then one row per distinct key and scope, with its first order and its distinct
-    texts, goes through the greedy merge. Only keys, not mentions, are gathered per scope, and equal ones once.
-    Mentions without a key are groups of their own (null).
+    Aliases are looked up by equi-join; then pairs of distinct keys are found by joins (``name_pairs``), and only the
+    pairs of a scope, which has few, are gathered for the ordered pass; keys without a pair are groups of their own and
+    stay where they are. Mentions without a key have no group (null).
     """
     key = coref_name(F.coalesce(nonblank(F.col(attribute)), F.col(text)) if attribute else F.col(text))
     m = mentions.withColumn("__k", F.nullif(key, F.lit("")))
@@ -117,14 +103,18 @@ def resolve(mentions: DataFrame, scope: Sequence[str], *, order: str, text: str,
         m = m.join(aliases.select(*scope, F.col("alias").alias("__k"), F.col("canonical").alias("__c")), [*scope, "__k"], "left").withColumn("__k", F.coalesce("__c", "__k")).drop("__c")
     if not fuzzy:
         return m.withColumnRenamed("__k", "group_key")
-    keys = m.where("__k IS NOT NULL").groupBy(*scope, "__k").agg(F.min(order).alias("__o"), F.array_sort(F.collect_set(text)).alias("__t"))
+    known = m.where("__k IS NOT NULL").select(*scope, F.col("__k").alias("key"), F.col(order).alias("o"), F.col(text).alias("text"))
+    keys = known.groupBy(*scope, "key").agg(F.min("o").alias("o"))
+    pairs = name_pairs(keys, known.select(*scope, "key", "text").distinct(), scope, edits, overlap)
+    for side in ("a", "b"):
+        pairs = pairs.join(keys.select(*scope, F.col("key").alias(side), F.col("o").alias(f"o_{side}")), [*scope, side])
     types = ", ".join(f"`{s}` {mentions.schema[s].dataType.simpleString()}" for s in scope)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__o", "__k"])
-        to = merge_names([(k, list(t)) for k, t in zip(pdf["__k"], pdf["__t"])])
-        return pdf[list(scope)].assign(__k=pdf["__k"], group_key=[to[k] for k in pdf["__k"]])
-
-    merged = keys.groupBy(*scope).applyInPandas(run, f"{types}, __k string, group_key string")
-    return m.join(merged, [*scope, "__k"], "left").drop("__k")
+        when = dict(zip([*pdf["a"], *pdf["b"]], [*pdf["o_a"], *pdf["o_b"]]))
+        place = {k: i for i, k in enumerate(sorted(when, key=lambda k: (when[k], k)))}
+        to = merge_in_order(place, zip(pdf["a"], pdf["b"], pdf["way"]))
+        return pd.DataFrame({s: [pdf[s].iloc[0]] * len(to) for s in scope} | {"__k": list(to), "__g": list(to.values())})
 
+    merged = pairs.groupBy(*scope).applyInPandas(run, f"{types}, __k string, __g string")
+    return m.join(merged, [*scope, "__k"], "left").withColumn("group_key", F.coalesce("__g", "__k")).drop("__k", "__g")

@@ -73,14 +73,72 @@ def test_remap(spark):
     assert [tuple(r) for r in graph.remap(e, m).collect()] == [("a", "b", "t")]
 
 
+def by_rereading(rows):
+    """Groups of (order, text) by comparing whole groups again after each merge, from the rules alone."""
+    import re
+
+    def edits(a, b):
+        d = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(d[j] + 1, new[-1] + 1, d[j - 1] + (x != y)))
+            d = new
+        return d[-1]
+
+    def stands(s, f):
+        if not (1 <= len(s) <= 5 < len(f) and (s.isupper() or s.istitle())):
+            return False
+        words = f.split()
+        letters = iter(w[0].upper() for w in words)
+        ordered = len(words) >= len(s) and all(c in letters for c in s.upper())
+        return s.lower() in f.lower() or ordered or (len(words) >= len(s) and "".join(w[0] for w in words).upper().startswith(s.upper()))
+
+    key = lambda t: re.sub(r"\s+", " ", re.sub(r"[-_/.,;:]", " ", t.lower())).strip()
+    groups = {}  # key -> (texts, keys)
+    for _, t in sorted(rows):
+        k = key(t)
+        at = k if any(k in ks for _, ks in groups.values()) else next((g for g in groups if edits(g, k) <= 1), k)
+        at = next((g for g, (_, ks) in groups.items() if k in ks), at)
+        texts, ks = groups.setdefault(at, ([], set()))
+        texts.append(t)
+        ks.add(k)
+    heads = list(groups)
+    for i, g in enumerate(heads):
+        for h in heads[i + 1 :]:
+            if g not in groups:
+                break
+            if h not in groups:
+                continue
+            a, b = sorted((g, h), key=len)
+            if (a in b and len(a) / len(b) >= 0.6) or any(stands(x, y) or stands(y, x) for x in groups[g][0] for y in groups[h][0]):
+                keep, lose = (g, h) if len(g) >= len(h) else (h, g)
+                texts, ks = groups.pop(lose)
+                groups[keep][0].extend(texts)
+                groups[keep][1].update(ks)
+    return {i: g for i, t in rows for g, (_, ks) in groups.items() if key(t) in ks}
+
+
 def test_coreference(spark):
-    assert coref.merge_names([("thymol", ["thymol"]), ("thymoll", ["thymoll"]), ("curcumin", ["curcumin"])]) == {"thymol": "thymol", "thymoll": "thymol", "curcumin": "curcumin"}
-    assert coref.merge_names([("adg", ["ADG"]), ("average daily gain", ["Average Daily Gain"])])["adg"] == "average daily gain"
-    assert coref.merge_names([("a", ["a"]), ("b", ["b"])], fuzzy=False) == {"a": "a", "b": "b"}
     df = spark.createDataFrame([(1, "d", "Thymol", "THY"), (2, "d", "thymol ", None), (3, "d", "THY", None), (4, "d", "curcumin", None), (5, "d", None, None), (6, "e", "THY", None)], "i long, d string, t string, a string")
     out = coref.resolve(df, ["d"], order="i", text="t", aliases=coref.alias_map(df, ["d"], "t", "a"))
     got = {r["i"]: r["group_key"] for r in out.collect()}
     assert got[1] == got[2] == got[3] == "thymol" and got[4] == "curcumin" and got[5] is None and got[6] == "thy"
+    assert coref.resolve(df.limit(0), ["d"], order="i", text="t").count() == 0
+    exact = coref.resolve(spark.createDataFrame([(1, "d", "thymol"), (2, "d", "thymoll")], "i long, d string, t string"), ["d"], order="i", text="t", fuzzy=False)
+    assert {r["group_key"] for r in exact.collect()} == {"thymol", "thymoll"}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_coreference_against_rereading(spark, seed):
+    import random
+
+    random.seed(seed)
+    words = ["gain", "gains", "daily", "average", "thymol", "thymoll", "feed", "intake", "Bw", "ADG", "FI", "Adg", "Tf"]
+    docs = {d: [(i, " ".join(random.sample(words, random.randint(1, 3)))) for i in range(30)] for d in "abcd"}
+    df = spark.createDataFrame([(i, d, t) for d, rows in docs.items() for i, t in rows], "i long, d string, t string")
+    got = {(r["d"], r["i"]): r["group_key"] for r in coref.resolve(df, ["d"], order="i", text="t").collect()}
+    assert got == {(d, i): g for d, rows in docs.items() for i, g in by_rereading(rows).items()}
 
 
 def test_validation(spark):
