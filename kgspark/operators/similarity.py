@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,35 +13,43 @@ def _named(df: DataFrame, scope: Sequence[str], name: str) -> DataFrame:
     return df.select(*scope, F.col(name).alias("__n")).where("__n <> ''").distinct()
 
 
-def near_pairs(df: DataFrame, scope: Sequence[str], name: str, edits: int) -> DataFrame:
-    """(scope, a, b), a < b: distinct names of a scope within ``edits`` edits.
+def near_join(left: DataFrame, right: DataFrame, scope: Sequence[str], a: str, b: str, edits: int) -> DataFrame:
+    """Rows of both sides of one scope whose texts are within ``edits`` edits, as (scope, a, b, edits).
 
-    A name cut into edits + 1 segments keeps one of them unchanged, moved by at most ``edits`` places, in any name
-    within reach. So every name's segments meet the other names' substrings of that length and place by an equi-join,
-    and only what meets is compared. Names too short to cut meet by scope; there are few different ones.
+    A text cut into edits + 1 segments keeps one of them unchanged, moved by at most ``edits`` places, in any text within
+    reach. So the segments of the left meet the substrings of that length and place of the right by an equi-join, and
+    only what meets is compared. Texts too short to cut meet by length; there are few different ones. Blank texts are
+    near nothing; each pair of different texts is there once.
     """
-    k = edits
-    n = _named(df, scope, name).withColumn("__len", F.char_length("__n"))
-    parts = lambda length: (F.floor(length / (k + 1)).cast("int"), (length % (k + 1)).cast("int"))
+    k, scope = edits, list(scope)
+    named = lambda df, c: df.select(*scope, F.col(c).alias("__n")).where("__n <> ''").distinct().withColumn("__len", F.char_length("__n"))
+    mine, theirs = named(left, a), named(right, b)
 
     def place(length, i):
-        base, rest = parts(length)
+        base, rest = F.floor(length / (k + 1)).cast("int"), (length % (k + 1)).cast("int")
         extra = F.greatest(F.lit(0), i - (F.lit(k + 1) - rest))
         return i * base + extra, base + (i >= F.lit(k + 1) - rest).cast("int")
 
     i = F.explode(F.sequence(F.lit(0), F.lit(k))).alias("__i")
-    segs = n.where(F.col("__len") > k).select(*scope, "__n", "__len", i)
+    segs = mine.where(F.col("__len") > k).select(*scope, "__n", "__len", i)
     at, size = place(F.col("__len"), F.col("__i"))
-    segs = segs.select(*scope, F.col("__n").alias("a"), "__len", "__i", F.col("__n").substr(at + 1, size).alias("__part"))
-    probe = n.where(F.col("__len") > k).select(*scope, "__n", F.col("__len").alias("__own"), F.explode(F.sequence(F.greatest(F.col("__len") - k, F.lit(k + 1)), F.col("__len"))).alias("__len"))
+    segs = segs.select(*scope, F.col("__n").alias("__a"), "__len", "__i", F.col("__n").substr(at + 1, size).alias("__part"))
+    probe = theirs.where(F.col("__len") > 0).select(*scope, "__n", F.col("__len").alias("__own"), F.explode(F.sequence(F.greatest(F.col("__len") - k, F.lit(k + 1)), F.greatest(F.col("__len") + k, F.lit(k + 1)))).alias("__len"))
     probe = probe.select(*scope, "__n", "__own", "__len", i).select("*", F.explode(F.sequence(F.lit(-k), F.lit(k))).alias("__d"))
     at, size = place(F.col("__len"), F.col("__i"))
     probe = probe.withColumns({"__at": at + F.col("__d"), "__size": size}).where("__at >= 0 AND __at + __size <= __own")
-    probe = probe.select(*scope, F.col("__n").alias("b"), "__len", "__i", F.col("__n").substr(F.col("__at") + 1, F.col("__size")).alias("__part")).distinct()
-    met = segs.join(probe, [*scope, "__len", "__i", "__part"]).select(*scope, "a", "b")
-    short = n.where(F.col("__len") <= k).select(*scope, F.col("__n").alias("a")).join(n.where(F.col("__len") <= 2 * k).select(*scope, F.col("__n").alias("b")), list(scope))
-    both = met.unionByName(short).where("a <> b").select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return both.where(F.levenshtein("a", "b", k) >= 0)
+    probe = probe.select(*scope, F.col("__n").alias("__b"), "__len", "__i", F.substring("__n", F.col("__at") + 1, F.col("__size")).alias("__part")).distinct()
+    met = segs.join(probe, [*scope, "__len", "__i", "__part"]).select(*scope, "__a", "__b")
+    reach = theirs.where(F.col("__len") <= 2 * k).select(*scope, F.col("__n").alias("__b"), F.explode(F.sequence(F.greatest(F.col("__len") - k, F.lit(1)), F.least(F.col("__len") + k, F.lit(k)))).alias("__len")) if k else None
+    short = [mine.where(F.col("__len") <= k).select(*scope, F.col("__n").alias("__a"), "__len").join(reach.where("__len >= 1"), [*scope, "__len"]).select(*scope, "__a", "__b")] if k else []
+    both = reduce(DataFrame.unionByName, short, met).distinct().withColumn("edits", F.levenshtein("__a", "__b", k)).where("edits >= 0")
+    return both.withColumnsRenamed({"__a": a, "__b": b})
+
+
+def near_pairs(df: DataFrame, scope: Sequence[str], name: str, edits: int) -> DataFrame:
+    """(scope, a, b), a < b: distinct names of a scope within ``edits`` edits, found by ``near_join``."""
+    names = df.select(*scope, F.col(name).alias("a"), F.col(name).alias("b"))
+    return near_join(names.drop("b"), names.drop("a"), scope, "a", "b", edits).where("a < b").select(*scope, "a", "b")
 
 
 def contained_pairs(df: DataFrame, scope: Sequence[str], name: str, least: float) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import coref_name, strip, vocab_name
+from ..session import checkpointed
+from .similarity import contains_join, near_join
 
 #: A vocabulary beyond this many keys isn't broadcast.
 MAX_KEYS = 100_000
@@ -25,9 +27,14 @@ def load(rows: DataFrame, names: str, cls: str, subclass: str) -> DataFrame:
     return best.select("key", "e.entry_class", "e.entry_subclass")
 
 
+def is_small(vocabulary: DataFrame) -> bool:
+    """Whether a vocabulary has so few keys that it may be broadcast."""
+    return vocabulary.select("key").limit(MAX_KEYS + 1).count() <= MAX_KEYS
+
+
 def small(vocabulary: DataFrame) -> DataFrame:
     """The vocabulary marked for broadcasting if it is small enough to prove it, else as it is."""
-    return F.broadcast(vocabulary) if len(vocabulary.select("key").limit(MAX_KEYS + 1).collect()) <= MAX_KEYS else vocabulary
+    return F.broadcast(vocabulary) if is_small(vocabulary) else vocabulary
 
 
 def _plain(text: Column) -> Column:
@@ -39,15 +46,16 @@ def cascade(names: DataFrame, name: str, vocabulary: DataFrame, least: int = 3,
 
     Tier 1 exact, 2 without punctuation, 3 one contains the other, 4 letters and digits only, 5 at most ``edits``
     edits, 6 a part between commas by tiers 1 to 5; match_source is 'exact', 'fuzzy' or 'unmatched'. Within a tier the
-    fewest edits, then the first key win. Keys shorter than ``least`` take part in the equal tiers only. Equal tiers
-    are equi-joins over distinct names; only names they leave meet the broadcast vocabulary in a nested loop.
+    fewest edits, then the first key win. Keys shorter than ``least`` take part in the equal tiers only. All tiers are
+    equi-joins over distinct names, on forms, on grams and on segments; the looser ones see only what the equal ones
+    leave. The forms of a vocabulary that is small (``MAX_KEYS``) are broadcast.
     """
-    v = small(vocabulary)
+    v, tiny = checkpointed(vocabulary), is_small(vocabulary)
     distinct = names.select(F.col(name).alias("name")).where(strip(F.col("name")) != "").distinct()
-    first = _tiers(distinct.select("name", "name", F.lower(strip(F.col("name"))).alias("n")).toDF("name", "whole", "n"), v, least, edits)
+    first = _tiers(distinct.select("name", "name", F.lower(strip(F.col("name"))).alias("n")).toDF("name", "whole", "n"), v, least, edits, tiny)
     left = distinct.join(first, "name", "left_anti").where(F.col("name").contains(","))
     parts = left.select("name", F.posexplode(F.split("name", ",")).alias("i", "p")).select("name", "i", F.lower(strip(F.col("p"))).alias("n")).where("n <> ''")
-    by_part = _tiers(parts.select(F.concat_ws("\u0000", "name", "n").alias("name"), F.col("name").alias("whole"), "n"), v, least, edits)
+    by_part = _tiers(parts.select(F.concat_ws("\u0000", "name", "n").alias("name"), F.col("name").alias("whole"), "n"), v, least, edits, tiny)
     sixth = by_part.groupBy("whole").agg(F.min_by(F.struct("key", "entry_class", "entry_subclass"), F.struct("tier", "dist", "key")).alias("b"), F.lit(6).alias("tier"))
     found = first.select("name", "tier", "key", "entry_class", "entry_subclass").unionByName(sixth.select(F.col("whole").alias("name"), "tier", "b.key", "b.entry_class", "b.entry_subclass"))
     out = distinct.join(found, "name", "left")
@@ -55,30 +63,32 @@ def cascade(names: DataFrame, name: str, vocabulary: DataFrame, least: int = 3,
     return out.withColumn("entry_class", F.coalesce("entry_class", F.lit("Other"))).withColumn("match_source", source)
 
 
-def _tiers(names: DataFrame, v: DataFrame, least: int, edits: int) -> DataFrame:
+def _tiers(names: DataFrame, v: DataFrame, least: int, edits: int, tiny: bool) -> DataFrame:
     """Best hit of each name by tiers 1 to 5; ``names`` has name, whole and n, the form compared."""
     forms = lambda c: F.explode(F.array(F.struct(F.lit(1).alias("tier"), c.alias("form")), F.struct(F.lit(2).alias("tier"), vocab_name(c).alias("form")), F.struct(F.lit(4).alias("tier"), _plain(c).alias("form")))).alias("f")
     mine = names.select("name", "whole", forms(F.col("n"))).select("name", "whole", "f.tier", "f.form").where("form <> ''")
     theirs = v.select("key", "entry_class", "entry_subclass", forms(F.col("key"))).select("key", "entry_class", "entry_subclass", "f.tier", "f.form").where("form <> ''")
     best = lambda df: df.groupBy("name", "whole").agg(F.min_by(F.struct("tier", "dist", "key", "entry_class", "entry_subclass"), F.struct("tier", "dist", "key")).alias("b")).select("name", "whole", "b.*")
-    equal = best(mine.join(F.broadcast(theirs), ["tier", "form"]).withColumn("dist", F.lit(0)))
+    equal = best(mine.join(F.broadcast(theirs) if tiny else theirs, ["tier", "form"]).withColumn("dist", F.lit(0)))
     # a name equal only in letters and digits may still contain a key, which comes first
     left = names.join(equal.where("tier < 3"), "name", "left_anti")
-    n, k = F.col("n"), F.col("key")
-    inside = n.contains(k) | k.contains(n)
-    near = F.levenshtein(n, k, edits)
-    rows = left.join(v.where(F.char_length("key") >= least), (inside & (F.char_length(n) >= least)) | (near >= 0))
-    tier = F.when(inside & (F.char_length(n) >= least), 3).otherwise(5)
-    loose = rows.select("name", "whole", tier.alias("tier"), F.when(near >= 0, near).otherwise(edits + 1).alias("dist"), "key", "entry_class", "entry_subclass")
+    forms = left.select("n").where("n <> ''").distinct()
+    keys = v.where(F.char_length("key") >= least).select("key")
+    inside = contains_join(forms.where(F.char_length("n") >= least), keys, [], "n", "key").select("n", "key", F.lit(3).alias("tier"), F.levenshtein("n", "key", edits).alias("dist"))
+    near = near_join(forms, keys, [], "n", "key", edits).select("n", "key", F.lit(5).alias("tier"), F.col("edits").alias("dist"))
+    # one row for each pair: what contains is of tier 3, whatever the edits
+    met = inside.unionByName(near).groupBy("n", "key").agg(F.min("tier").alias("tier"), F.max("dist").alias("dist"))
+    loose = left.join(met, "n").join(v, "key").withColumn("dist", F.when(F.col("dist") >= 0, F.col("dist")).otherwise(edits + 1))
     return best(equal.unionByName(loose.select(*equal.columns)))
 
 
 def second_pass(unmatched: DataFrame, name: str, vocabulary: DataFrame, least: int = 3) -> DataFrame:
     """(name, entry_class) of the longest key that a name of class 'Other' contains or lies in, other than 'Other'."""
-    v = small(vocabulary.where((F.col("entry_class") != "Other") & (F.char_length("key") >= least)))
-    n = F.lower(strip(F.col(name)))
-    hit = unmatched.select(name).distinct().join(v, n.contains(F.col("key")) | ((F.char_length(n) >= least) & F.col("key").contains(n)))
-    return hit.groupBy(name).agg(F.min_by("entry_class", F.struct(-F.char_length("key"), "key")).alias("entry_class"))
+    v = vocabulary.where((F.col("entry_class") != "Other") & (F.char_length("key") >= least))
+    forms = unmatched.select(name, F.lower(strip(F.col(name))).alias("__n")).where("__n <> ''").distinct()
+    met = contains_join(forms.select("__n").distinct(), v, [], "__n", "key").where((F.char_length("__n") >= least) | F.col("__n").contains(F.col("key")))
+    best = met.groupBy("__n").agg(F.min_by("entry_class", F.struct(-F.char_length("key"), "key")).alias("entry_class"))
+    return forms.join(best, "__n").select(name, "entry_class")
 
 
 def synonyms(vocabulary_rows: DataFrame, names: str) -> DataFrame:

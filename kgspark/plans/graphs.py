@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import values as V
-from ..operators import gate, graph, text
+from ..operators import gate, graph, text, vocabulary
 from ..session import table
 from ..sources import sinks
 from . import query
@@ -75,7 +75,7 @@ def belongs_to(spark: SparkSession, sf: str) -> DataFrame:
     """Edges from substances to their classes."""
     from .lookups import _vocabulary
 
-    n = table(spark, sf, "alternatives").select("standard_name", F.lower(N.strip(F.col("standard_name"))).alias("key")).join(F.broadcast(_vocabulary(spark, sf)), "key")
+    n = table(spark, sf, "alternatives").select("standard_name", F.lower(N.strip(F.col("standard_name"))).alias("key")).join(vocabulary.small(_vocabulary(spark, sf)), "key")
     return graph.belongs_to(n.withColumn("id", N.global_id(F.lit("Alternative"), F.col("standard_name"), F.lit(None).cast("string"), ["Alternative"])), ident="id", cls="entry_class")
 
 
