@@ -10,7 +10,14 @@ from pyspark.sql import SparkSession
 
 @dataclass(frozen=True)
 class Settings:
+    """``cache`` is the folder of answers kept from run to run ('' for none); ``drop_unreferenced`` and ``create_missing``
+    are comma lists of classes (see the pipeline's functions of those names)."""
+
     model: str = "offline"
+    model_url: str = ""
+    temperature: float = 0.1
+    thinking: bool = False
+    cache: str = ""
     chunk_chars: int = 16000
     batch: int = 32
     passes: int = 1
@@ -18,6 +25,12 @@ class Settings:
     evidence_chars: int = 300
     retries: int = 3
     skip_gate: bool = False
+    verify: bool = True
+    merge_names: bool = False
+    class_nodes: bool = False
+    reference_context: bool = True
+    drop_unreferenced: str = ""
+    create_missing: str = ""
     strict: bool = False
 
     @classmethod
@@ -26,7 +39,7 @@ class Settings:
         known = {f.name: f.type for f in fields(cls)}
         if unknown := set(given) - set(known):
             raise ValueError(f"unknown settings: {sorted(unknown)}")
-        cast = {"int": int, "str": str, "bool": lambda v: str(v).lower() in ("1", "true", "yes")}
+        cast = {"int": int, "float": float, "str": str, "bool": lambda v: str(v).lower() in ("1", "true", "yes")}
         out = {}
         for name, kind in known.items():
             value = os.environ.get(f"KGSPARK_{name.upper()}")

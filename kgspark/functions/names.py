@@ -119,8 +119,14 @@ def name_quality(name: Column) -> Column:
     return F.when(t == "", 0).otherwise(reduce(lambda a, b: a + b, points))
 
 
-def looks_synthetic(name: Column) -> Column:
-    """A name that reads like a label made up, not one found in a text: underscores, or more than four words all in lower case."""
+# Phrases that frame a text rather than name a thing.
+FRAMING = ("the study", "this experiment", "this research", "our study", "the paper", "this paper", "the trial", "this trial")
+
+
+def looks_synthetic(name: Column, framing: Sequence[str] = FRAMING) -> Column:
+    """A name that reads like a label made up, not one found in a text: underscores, more than four words all in lower
+    case, or a framing phrase at either end."""
     t = strip(F.coalesce(name, F.lit("")))
     words = F.size(F.filter(F.split(t, r"(?U)\s+"), lambda w: w != ""))
-    return t.contains("_") | ((words > 4) & (t == F.lower(t)))
+    framed = [F.startswith(F.lower(t), F.lit(f)) | F.endswith(F.lower(t), F.lit(f)) for f in framing]
+    return reduce(lambda a, b: a | b, framed, t.contains("_") | ((words > 4) & (t == F.lower(t))))

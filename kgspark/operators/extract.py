@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import strip
+from ..session import checkpointed
+from ..sources.tables import read_stage
 
 _FENCE = re.compile(r"```(?:\w+)?\s*\n?(.*?)```", re.S)
 _THINK = re.compile(r"<think>.*?</think>", re.S)
@@ -87,7 +90,15 @@ def resolve_simple(output: Column, cls: str) -> Column:
     return F.filter(F.transform(parsed["extractions"], lambda x: F.struct(x[cls].alias("text"), x[f"{cls}_attributes"].alias("attributes"))), lambda x: x["text"].isNotNull())
 
 
-def split_conjunction(name: Column, whole: Sequence[str] = (), longest: int = 60) -> Column:
+# Patterns of names with 'and' that are one thing.
+ONE_THING = (
+    r"mono.*and\s+di.*and\s+tri", r"fatty\s+acid", r"\d+,\s*\d+.*and", r"β-.*and\s+β-", r"villi\s+and\s+crypt", r"mortality\s+and\s+", r"health\s+and\s+\w+", r"growth\s+and\s+\w+", r"quality\s+and\s+\w+",
+    r"combination", r"complex", r"blend", r"mixture", r"extract.*and.*extract", r"powder", r"fiber", r"oil.*and.*oil", r"protein.*and", r"and.*protein", r"acid.*and.*acid", r"enzyme", r"cells", r"leaves.*and.*branch",
+    r"fruit.*and.*vegetable", r"oil",
+)
+
+
+def split_conjunction(name: Column, whole: Sequence[str] = ONE_THING, longest: int = 60) -> Column:
     """The name, and its two sides if it reads 'A and B': more than five words, at most ``longest`` characters, more
     than one word on either side, and none of the patterns ``whole`` that mark a name as one thing."""
     t = strip(name)
@@ -112,7 +123,8 @@ def context_line(rows: DataFrame, scope: Sequence[str], template: Column, order:
     return one.groupBy(*scope).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__o", "__t"))), lambda s: s["__t"]), separator).alias("context"))
 
 
-Extractor = Callable[[list[str]], list[str]]
+#: Prompts to answers, in their order; None for an answer that failed and may be asked for again.
+Extractor = Callable[[list[str]], list[str | None]]
 
 
 class DictionaryExtractor:
@@ -127,27 +139,41 @@ class DictionaryExtractor:
         return [json.dumps({"extractions": [{c: m.group()} for c, r in find.items() for m in r.finditer(p.rpartition(self.mark)[2])]}, ensure_ascii=False) for p in prompts]
 
 
-def extract(prompts: DataFrame, keep: list[str], prompt: str, make: Callable[[], Extractor], batch: int = 32, retries: int = 3) -> DataFrame:
+def extract(prompts: DataFrame, keep: list[str], prompt: str, make: Callable[[], Extractor], batch: int = 32, retries: int = 3, wait: float = 1.0) -> DataFrame:
     """Kept columns, output and score: the extractor is made once per task and asked ``batch`` prompts at a time.
 
-    A batch that fails ``retries`` times gives empty outputs with score 0. Results stand beside their own prompt.
+    What fails, a whole batch by an exception or single prompts by None, is asked again, up to ``retries`` times in all,
+    after ``wait`` seconds and twice as long each further time; what still fails has an empty output with score 0.
+    Results stand beside their own prompt. ValueError is for mistakes that asking again can't mend, and stops the job.
     """
     kept = ", ".join(f"`{c}` {prompts.schema[c].dataType.simpleString()}" for c in keep)
 
+    def answers(ask: Extractor, texts: list[str]) -> list[str | None]:
+        out: list[str | None] = [None] * len(texts)
+        left = list(range(len(texts)))
+        for attempt in range(retries):
+            if attempt:
+                time.sleep(wait * 2 ** (attempt - 1))
+            try:
+                got = ask([texts[i] for i in left])
+            except ValueError:
+                raise
+            except Exception:  # noqa: BLE001
+                got = []
+            if len(got) == len(left):
+                for i, o in zip(left, got):
+                    out[i] = o
+            left = [i for i in left if out[i] is None]
+            if not left:
+                break
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ask = make()
         for pdf in batches:
-            texts, outs = list(pdf["__p"]), []
-            for i in range(0, len(texts), batch):
-                part = texts[i : i + batch]
-                for _ in range(retries):
-                    try:
-                        got = ask(part)
-                        break
-                    except Exception:  # noqa: BLE001
-                        got = None
-                outs += [(o, 1.0) for o in got] if got is not None and len(got) == len(part) else [("", 0.0)] * len(part)
-            yield pdf[keep].assign(output=[o for o, _ in outs], score=[s for _, s in outs])
+            texts = list(pdf["__p"])
+            outs = [o for i in range(0, len(texts), batch) for o in answers(ask, texts[i : i + batch])]
+            yield pdf[keep].assign(output=[o or "" for o in outs], score=[float(o is not None) for o in outs])
 
     return prompts.select(*keep, F.col(prompt).alias("__p")).mapInPandas(run, f"{kept}, output string, score double")
 
@@ -160,3 +186,38 @@ def cache_key(model: Column, system: Column, user: Column, settings: Column | No
 def with_cache(prompts: DataFrame, cache: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(answered, open): prompts with their cached output, and those to ask."""
     return prompts.join(cache, key), prompts.join(cache.select(key), key, "left_anti")
+
+
+class AnswerCache:
+    """Answers kept from run to run, in a table folder that all workers share: (key, output).
+
+    A prompt whose key is there isn't asked; equal prompts of a run are asked once. New answers are added as files of
+    their own, so runs side by side don't disturb each other; of several answers to a key the first in order holds.
+    Answers that failed aren't kept.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame:
+        stored = read_stage(self.spark, self.path)
+        if stored is None:
+            return self.spark.createDataFrame([], "key string, output string")
+        return stored.groupBy("key").agg(F.min("output").alias("output"))
+
+    def add(self, answers: DataFrame) -> None:
+        answers.where("score > 0").select("key", "output").distinct().write.mode("append").parquet(self.path)
+
+    def clear(self) -> None:
+        """Forgets all answers."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    def extract(self, prompts: DataFrame, keep: list[str], prompt: str, key: str, make: Callable[[], Extractor], **how) -> DataFrame:
+        """As ``extract``, by the cache: kept columns, output and score; ``key`` is the column of the prompts' keys."""
+        named = prompts.select(*keep, F.col(prompt).alias("__p"), F.col(key).alias("__k"))
+        answered, open_ = with_cache(named, self.read().withColumnRenamed("key", "__k"), "__k")
+        asked = checkpointed(extract(open_.groupBy("__k").agg(F.min("__p").alias("__q")), ["__k"], "__q", make, **how))
+        self.add(asked.withColumnRenamed("__k", "key"))
+        found = answered.select(*keep, "output", F.lit(1.0).alias("score"))
+        return found.unionByName(open_.join(asked, "__k").select(*keep, "output", "score"))

@@ -250,7 +250,7 @@ def case_consistency(spark: SparkSession, sf: str) -> DataFrame:
 def decompose_and(spark: SparkSession, sf: str) -> DataFrame:
     """The first clause of each document, and its two sides if it reads 'A and B'."""
     d = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.element_at(F.split("text", r"\."), 1).alias("t"))
-    return d.select("doc_id", F.explode(extract.split_conjunction(F.col("t"))).alias("part"))
+    return d.select("doc_id", F.explode(extract.split_conjunction(F.col("t"), ())).alias("part"))
 
 
 def _wide(e: str) -> str:
@@ -264,7 +264,7 @@ def decompose_clauses(spark: SparkSession, sf: str) -> DataFrame:
     """Every clause of each document that isn't blank, and its two sides if it reads 'A and B'."""
     d = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", r"\.")).alias("pos", "c"))
     d = d.select("doc_id", F.col("pos").cast("long").alias("pos"), N.strip(F.col("c")).alias("t")).where("t <> ''")
-    return d.select("doc_id", "pos", F.explode(extract.split_conjunction(F.col("t"))).alias("part"))
+    return d.select("doc_id", "pos", F.explode(extract.split_conjunction(F.col("t"), ())).alias("part"))
 
 
 @query(f"""SELECT result_id, {_case('direction', V.DIRECTIONS)} AS direction, (CASE WHEN coalesce({_case('direction', V.DIRECTIONS)}, '') <> coalesce(direction, '') THEN 1 ELSE 0 END) + (CASE WHEN coalesce({_case('relation_type', V.RELATIONS)}, '') <> coalesce(relation_type, '') THEN 1 ELSE 0 END) AS n_changes FROM (SELECT DISTINCT result_id, direction, relation_type FROM results)""")
@@ -274,3 +274,23 @@ def repairs(spark: SparkSession, sf: str) -> DataFrame:
     d, t = V.mapped(F.col("direction"), V.DIRECTIONS), V.mapped(F.col("relation_type"), V.RELATIONS)
     changed = lambda a, b: (F.coalesce(a, F.lit("")) != F.coalesce(b, F.lit(""))).cast("int")
     return r.select("result_id", d.alias("direction"), (changed(d, F.col("direction")) + changed(t, F.col("relation_type"))).alias("n_changes"))
+
+
+_ONE_THING = r"mono.*and\s+di.*and\s+tri|fatty\s+acid|\d+,\s*\d+.*and|β-.*and\s+β-|villi\s+and\s+crypt|mortality\s+and\s+|health\s+and\s+\w+|growth\s+and\s+\w+|quality\s+and\s+\w+|combination|complex|blend|mixture|powder|fiber|protein.*and|and.*protein|acid.*and.*acid|enzyme|cells|leaves.*and.*branch|fruit.*and.*vegetable|oil|extract.*and.*extract"
+
+
+@query(r"""SELECT pos, part, count(*) AS n FROM (SELECT pos, unnest(CASE WHEN a <> '' AND contains(a, ' ') AND contains(b, ' ') AND length(t) - length(replace(t, ' ', '')) > 4 AND length(t) <= 60 AND NOT regexp_matches(t, '{whole}', 'i') THEN [t, a, b] ELSE [t] END) AS part FROM (
+ SELECT pos, t, {a} AS a, {b} AS b FROM (SELECT pos, {t} AS t FROM (SELECT unnest(range(1, len(string_split(text, '.')) + 1)) - 1 AS pos, unnest(string_split(text, '.')) AS c FROM documents WHERE text IS NOT NULL)) WHERE t <> '')) GROUP BY ALL""".replace("{t}", _wide("c")).replace("{a}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 1)")).replace("{b}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 2)")).replace("{whole}", _ONE_THING))
+def decompose_things(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each clause and side occurs when names that are one thing stay whole."""
+    d = table(spark, sf, "documents").where("text IS NOT NULL").select(F.posexplode(F.split("text", r"\.")).alias("pos", "c"))
+    d = d.select(F.col("pos").cast("long").alias("pos"), N.strip(F.col("c")).alias("t")).where("t <> ''")
+    return d.select("pos", F.explode(extract.split_conjunction(F.col("t"))).alias("part")).groupBy("pos", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""SELECT DISTINCT e AS evidence FROM (SELECT {t} AS e FROM results WHERE evidence_text IS NOT NULL) WHERE contains(e, '_') OR (len(list_filter(regexp_split_to_array(e, '\s+'), lambda w: w <> '')) > 4 AND e = lower(e))
+ OR regexp_matches(lower(e), '^(the study|this experiment|this research|our study|the paper|this paper|the trial|this trial)') OR regexp_matches(lower(e), '(the study|this experiment|this research|our study|the paper|this paper|the trial|this trial)$')""".replace("{t}", _wide("evidence_text")))
+def framed_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence that reads like a made-up label or starts or ends with a framing phrase."""
+    e = table(spark, sf, "results").where("evidence_text IS NOT NULL").select(N.strip(F.col("evidence_text")).alias("evidence"))
+    return e.where(N.looks_synthetic(F.col("evidence"))).distinct()
