@@ -71,6 +71,12 @@ def answered(parents: DataFrame, children: DataFrame, scope: Sequence[str], pare
     return hit.distinct()
 
 
+def marked(parents: DataFrame, children: DataFrame, scope: Sequence[str], ident: str, parent_keys: Sequence[str], ref: str) -> DataFrame:
+    """All parents with ``named``: whether some child names them by one of their keys."""
+    hit = answered(parents.select(*scope, ident, *parent_keys), children, scope, parent_keys, ref).select(ident, F.lit(True).alias("named")).distinct()
+    return parents.join(hit, ident, "left").withColumn("named", F.coalesce("named", F.lit(False)))
+
+
 def missing_targets(references: DataFrame, targets: DataFrame, scope: Sequence[str], ref: str, keys: Sequence[str], order: str) -> DataFrame:
     """(scope, key, name): one row to create per target that is named but absent, written as it is named first."""
     named = references.where(strip(F.col(ref)) != "").groupBy(*scope, F.lower(strip(F.col(ref))).alias("key")).agg(F.min_by(F.col(ref), F.col(order)).alias("name"))

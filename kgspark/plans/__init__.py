@@ -25,5 +25,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     from . import cleaning, graphs, lookups, texts, validation  # noqa: F401
+    from . import extras  # noqa: F401  # after those whose SQL it builds on
 
     return QUERIES, SQL

@@ -59,7 +59,13 @@ def contained_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.contained_pairs(_names(spark, sf), ["document_id"], "name", 0.6)
 
 
-@query()
+_SHORT, _FULL = S.strip("abbreviation"), S.strip("standard_name")
+
+
+@query(rf"""WITH i AS (SELECT indicator_id, abbreviation, standard_name, {_SHORT} AS s, {_FULL} AS f, list_filter(regexp_split_to_array({_FULL}, '\s+'), lambda w: w <> '') AS w FROM indicators),
+j AS (SELECT *, array_to_string(list_transform(w, lambda x: upper(x[1])), '') AS ini FROM i WHERE length(s) BETWEEN 1 AND 5 AND length(f) > 5 AND regexp_matches(s, '\p{{L}}') AND (s = upper(s) OR regexp_matches(s, '^[^a-z]?[A-Z]?[^A-Z]*$')))
+SELECT indicator_id, abbreviation, standard_name FROM j WHERE (s = upper(s) OR s = upper(s[1]) || lower(substr(s, 2))) AND (contains(lower(f), lower(s)) OR (len(w) >= length(s) AND (starts_with(ini, upper(s))
+ OR regexp_matches(ini, '^.*' || array_to_string(list_transform(string_split(upper(s), ''), lambda c: CASE WHEN regexp_matches(c, '[A-Z0-9]') THEN c ELSE '[' || c || ']' END), '.*') || '.*$'))))""")
 def abbreviation_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Indicators whose abbreviation stands for their name."""
     i = table(spark, sf, "indicators").select("indicator_id", "abbreviation", "standard_name")
@@ -91,7 +97,7 @@ def clean_texts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "alternatives").select("original_text").distinct().withColumn("cleaned", V.clean_text(F.col("original_text")))
 
 
-@query()
+@query("SELECT doc_id, nfc_normalize(text) AS text FROM documents")
 def composed_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Document texts in canonical composition."""
     return table(spark, sf, "documents").select("doc_id", V.nfc(F.col("text")).alias("text"))
@@ -199,6 +205,11 @@ def dedup_groups(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(i).groupBy("document_id", "cls", "key").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _wide(e: str) -> str:
+    w = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    return f"regexp_replace({e}, '^{w}|{w}$', '', 'g')"
+
+
 def _mentions(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "alternatives")
     attrs = F.map_filter(F.create_map(F.lit("abbreviation"), "abbreviation", F.lit("cas_number"), "cas_number", F.lit("source_organism"), "source_organism"), lambda k, v: v.isNotNull())
@@ -224,7 +235,9 @@ def strict_merge(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("document_id", "key", "alternative_id", "n_rows", "standard_name", *(F.col("attributes")[c].alias(c) for c in ("abbreviation", "cas_number", "source_organism")))
 
 
-@query()
+@query(f"""WITH p AS (SELECT document_id, {S.dedup_name('standard_name')} AS key, {_wide('evidence_text')} AS e, min(alternative_id) AS o FROM alternatives WHERE {_wide('evidence_text')} <> '' GROUP BY ALL),
+l AS (SELECT document_id, key, list(e ORDER BY o) AS l FROM p GROUP BY ALL)
+SELECT document_id, key, coalesce(array_to_string(list_filter(l, lambda x: len(list_filter(l, lambda y: y <> x AND contains(y, x))) = 0), ' <|> '), '') AS evidence_text FROM (SELECT DISTINCT document_id, {S.dedup_name('standard_name')} AS key FROM alternatives) LEFT JOIN l USING (document_id, key)""")
 def evidence_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Evidence of an identity joined in order, without parts that others contain."""
     m = dedup.merge_groups(_mentions(spark, sf), ["document_id", "key"], order="alternative_id", text="standard_name", evidence="evidence_text", separator=" <|> ")
@@ -253,11 +266,6 @@ def decompose_and(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.explode(extract.split_conjunction(F.col("t"), ())).alias("part"))
 
 
-def _wide(e: str) -> str:
-    w = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-    return f"regexp_replace({e}, '^{w}|{w}$', '', 'g')"
-
-
 @query(r"""SELECT doc_id, pos, unnest(CASE WHEN a <> '' AND contains(a, ' ') AND contains(b, ' ') AND length(t) - length(replace(t, ' ', '')) > 4 AND length(t) <= 60 THEN [t, a, b] ELSE [t] END) AS part FROM (
  SELECT doc_id, pos, t, {a} AS a, {b} AS b FROM (SELECT doc_id, pos, {t} AS t FROM (SELECT doc_id, unnest(range(1, len(string_split(text, '.')) + 1)) - 1 AS pos, unnest(string_split(text, '.')) AS c FROM documents WHERE text IS NOT NULL)) WHERE t <> '')""".replace("{t}", _wide("c")).replace("{a}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 1)")).replace("{b}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 2)")))
 def decompose_clauses(spark: SparkSession, sf: str) -> DataFrame:

@@ -175,7 +175,8 @@ def canonical_references(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("result_id", F.col("indicator_abbreviation").alias("indicator")).distinct()
 
 
-@query()
+@query(f"""WITH n AS (SELECT DISTINCT document_id, {S.coref_name('standard_name')} AS n FROM alternatives), w AS (SELECT document_id, n, list_distinct(string_split(n, ' ')) AS w FROM n WHERE n <> '')
+SELECT b.document_id, b.n AS alias, arg_min(a.n, (length(a.n), a.n)) AS canonical FROM w a JOIN w b ON a.document_id = b.document_id AND len(a.w) >= 2 AND len(a.w) < len(b.w) AND list_has_all(b.w, a.w) GROUP BY ALL""")
 def subset_aliases(spark: SparkSession, sf: str) -> DataFrame:
     """Names of a document that have all the words of a shorter one."""
     return coref.subset_aliases(table(spark, sf, "alternatives"), ["document_id"], "standard_name")

@@ -10,6 +10,8 @@ from ..operators import validate
 from ..session import table
 from . import query
 from . import sqltext as S
+from .cleaning import _QUALITY as QUALITY
+from .cleaning import _T as _NAME
 
 _REQUIRED = ("indicator_abbreviation", "direction", "relation_type")
 _GAPS = "list_filter([" + ", ".join(f"CASE WHEN coalesce({S.strip(c)}, '') = '' THEN '{c}' END" for c in _REQUIRED) + "], lambda x: x IS NOT NULL)"
@@ -59,7 +61,7 @@ def composites(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "alternatives").select("alternative_id", F.size(parts).cast("long").alias("n_parts")).where("n_parts >= 2")
 
 
-@query()
+@query(f"SELECT alternative_id, standard_name FROM (SELECT alternative_id, standard_name, {_NAME} AS t FROM alternatives) WHERE {QUALITY} >= 90")
 def strict_names(spark: SparkSession, sf: str) -> DataFrame:
     """Substances whose name is good enough in strict mode."""
     return table(spark, sf, "alternatives").where(validate.good_enough(F.col("standard_name"), True, 90)).select("alternative_id", "standard_name")

@@ -80,6 +80,12 @@ def read_articles(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFr
     if files.isEmpty():
         raise FileNotFoundError(f"no {glob} in {path}")
 
+    return parse_files(files)
+
+
+def parse_files(files: DataFrame) -> DataFrame:
+    """Articles of (path, content), one row per file."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame([parse_article(p, bytes(c)) for p, c in zip(pdf["path"], pdf["content"])], columns=[c.split()[0] for c in SCHEMA.split(", ")])
