@@ -19,8 +19,8 @@ HOT_KEYS = 20_000
 def hottest(counts: DataFrame, n: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Of a table of keys and their numbers of rows ``n`` the keys with ``hot_rows`` or more, at most HOT_KEYS; None if
     there are none. The keys are stored, not collected: the driver learns only whether there are any."""
-    found = checkpointed(counts.where(F.col(n) >= hot_rows).orderBy(F.desc(n)).limit(HOT_KEYS).drop(n))
-    return None if found.isEmpty() else found
+    hot = counts.where(F.col(n) >= hot_rows)
+    return None if hot.isEmpty() else checkpointed(hot.orderBy(F.desc(n)).limit(HOT_KEYS).drop(n))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:

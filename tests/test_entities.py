@@ -73,6 +73,14 @@ def test_remap(spark):
     assert [tuple(r) for r in graph.remap(e, m).collect()] == [("a", "b", "t")]
 
 
+def test_merged_nodes_fill_gaps(spark):
+    n = spark.createDataFrame([("1", "A", "aa", {"x": "1", "y": " "}, ["d"]), ("2", "A", "bb", {"x": "2", "y": "3"}, ["e", "d"]), ("3", "A", "cc", {"y": "4", "z": "5"}, None), ("4", "B", "q", None, None)], "id string, label string, name string, properties map<string,string>, source_pmids array<string>")
+    m = spark.createDataFrame([("2", "1"), ("3", "1")], "id string, into string")
+    got = {r["id"]: (r["name"], r["properties"], r["source_pmids"]) for r in graph.merge_nodes(n, m).collect()}
+    assert got == {"1": ("aa", {"x": "1", "y": "3", "z": "5"}, ["d", "e"]), "4": ("q", None, None)}
+    assert {r["id"] for r in graph.merge_nodes(n, m.limit(0)).collect()} == set("1234")
+
+
 def by_rereading(rows):
     """Groups of (order, text) by comparing whole groups again after each merge, from the rules alone."""
     import re

@@ -34,6 +34,14 @@ def test_near(spark, names, k):
     assert sorted(tuple(r) for r in S.near_pairs(df, ["d"], "n", k).collect()) == pairs(names, lambda a, b: edits(a, b) <= k)
 
 
+def test_near_join_of_two_sides(spark, names):
+    df = spark.createDataFrame(sorted({n[1] for n in names}), "string").withColumnRenamed("value", "n")
+    x, y = df.where("length(n) % 2 = 0").withColumnRenamed("n", "x"), df.where("length(n) % 3 > 0").withColumnRenamed("n", "y")
+    own = sorted({n[1] for n in names if n[1]})
+    want = sorted((a, b, edits(a, b)) for a in own for b in own if len(a) % 2 == 0 and len(b) % 3 and edits(a, b) <= 2)
+    assert sorted(tuple(r) for r in S.near_join(x, y, [], "x", "y", 2).collect()) == want
+
+
 @pytest.mark.parametrize("least", [0.6, 0.3])
 def test_contained(spark, names, least):
     df = spark.createDataFrame(names, "d string, n string")
