@@ -216,6 +216,16 @@ def exact_position(mention: Column, text: Column) -> Column:
     return F.when(mention != "", F.position(F.lower(mention), F.lower(text)) - 1).otherwise(-1)
 
 
+def word_position(mention: Column, text: Column) -> Column:
+    """Tier 1 in the JVM: 0-based place of the mention, any case, that doesn't begin or end inside a word; -1 if there is
+    none; null of nulls. The quoted mention is looked for between other than letters."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(F.lower(mention), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    whole = F.concat(F.lit(r"(?s)^(.*?)(?<!\p{L})"), quoted, F.lit(r"(?!\p{L})"))
+    # the length of what lies before counts characters; a matcher's own positions count UTF-16 units
+    place = F.char_length(F.call_function("regexp_extract", F.lower(text), whole, F.lit(1)))
+    return F.when((mention != "") & F.rlike(F.lower(text), whole), place).otherwise(F.when(mention.isNotNull() & text.isNotNull(), -1))
+
+
 def raw_evidence(text: Column, start: Column, end: Column, context: int = 300) -> Column:
     """The text ``context`` characters around an interval; '' without one."""
     b = F.greatest(start - context, F.lit(0))

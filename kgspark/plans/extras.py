@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
-from ..operators import dedup, graph, lookup, text
+from ..operators import align, dedup, graph, lookup, text
 from ..session import table
 from ..sources import articles as src
 from . import SQL, lookups, query
@@ -116,3 +116,68 @@ def orphan_warnings(spark: SparkSession, sf: str) -> DataFrame:
     """Every substance, and whether an intervention names it: the variant that warns and keeps all."""
     a = table(spark, sf, "alternatives").select("document_id", "alternative_id", "standard_name", "abbreviation")
     return lookup.marked(a, table(spark, sf, "interventions"), ["document_id"], "alternative_id", ["standard_name", "abbreviation"], "intervention_target").select("alternative_id", "named")
+
+
+#: Class, table, id, name and attributes of the classes whose nodes are shared by all documents.
+_CLASSES = (
+    ("Alternative", "alternatives", "alternative_id", "standard_name", ("abbreviation", "cas_number", "source_organism")), ("Indicator", "indicators", "indicator_id", "abbreviation", ("standard_name", "unit", "measurement_method")),
+    ("Tissue_Site", "tissue_sites", "tissue_site_id", "site_name", ("site_category",)),
+)
+_PREFIX = {"Alternative": "alte", "Indicator": "indi", "Tissue_Site": "tiss"}
+
+
+def _nodes_sql(cls: str, name: str, ident: str, key: str, attributes: tuple[str, ...]) -> str:
+    first = lambda a: f"coalesce(arg_min({a}, {ident}) FILTER ({S.strip(a)} <> ''), '')"
+    props = " || '|' || ".join(first(a) for a in attributes)
+    return f"SELECT {S.global_id(_PREFIX[cls], cls, key)} AS id, '{cls}' AS label, arg_min({key}, {ident}) AS name, {props} AS properties, array_to_string(list_sort(list(DISTINCT document_id)), '|') AS source_pmids FROM {name} WHERE {S.strip(key)} <> '' GROUP BY 1"
+
+
+@query(" UNION ALL ".join(_nodes_sql(c, t, i, k, a) for c, t, i, k, a in _CLASSES))
+def all_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of all shared classes: first stated properties, all documents."""
+    parts = []
+    for cls, name, ident, key, attributes in _CLASSES:
+        attrs = F.map_filter(F.create_map(*(x for a in attributes for x in (F.lit(a), F.col(a)))), lambda k, v: v.isNotNull())
+        parts.append(table(spark, sf, name).select("document_id", F.lit(cls).alias("cls"), F.col(key).alias("name"), attrs.alias("attributes"), F.col(ident).alias("ord")))
+    mentions = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    n = graph.nodes(mentions, document="document_id", cls="cls", name="name", attributes="attributes", order="ord", global_types=[c[0] for c in _CLASSES])
+    of = F.coalesce(*(F.when(F.col("label") == cls, F.concat_ws("|", *(F.coalesce(F.col("properties")[a], F.lit("")) for a in attributes))) for cls, _, _, _, attributes in _CLASSES))
+    return n.select("id", "label", "name", of.alias("properties"), F.array_join("source_pmids", "|").alias("source_pmids"))
+
+
+#: Table, id, class, field, target class and edge of every reference.
+_REFERENCES = (
+    ("results", "result_id", "Result", "indicator_abbreviation", "Indicator", "corresponds_to", "evidence_text"), ("results", "result_id", "Result", "tissue_site", "Tissue_Site", "measured_at", "evidence_text"),
+    ("interventions", "intervention_id", "Intervention", "intervention_target", "Alternative", "uses", "evidence_text"), ("indicators", "indicator_id", "Indicator", "measured_in", "Tissue_Site", "measured_in", "NULL"),
+)
+
+
+def _edges_sql(name: str, ident: str, cls: str, field: str, target: str, edge: str, evidence: str) -> str:
+    source = f"sha256('{cls}:' || {ident} || ':' || coalesce(document_id, ''))"
+    return f"SELECT {source} AS source_id, {S.global_id(_PREFIX[target], target, field)} AS target_id, '{edge}' AS type, {evidence}::VARCHAR AS evidence, document_id, {ident} AS ord FROM {name} WHERE {S.strip(field)} <> ''"
+
+
+@query(f"WITH r AS ({' UNION ALL '.join(_edges_sql(*r) for r in _REFERENCES)}) SELECT source_id, target_id, type, min(evidence) AS evidence, array_to_string(list_sort(list(DISTINCT document_id)), '|') AS source_pmids FROM r GROUP BY 1, 2, 3")
+def all_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges of every reference field of every class."""
+    parts = []
+    shared = [c[0] for c in _CLASSES]
+    for name, ident, cls, field, target, edge, evidence in _REFERENCES:
+        source = F.sha2(F.concat(F.lit(f"{cls}:"), F.col(ident).cast("string"), F.lit(":"), F.coalesce("document_id", F.lit(""))), 256)
+        reached = N.global_id(F.lit(target), F.col(field), F.lit(None).cast("string"), shared)
+        said = F.lit(None).cast("string") if evidence == "NULL" else F.col(evidence)
+        parts.append(table(spark, sf, name).where(N.nonblank(F.col(field)).isNotNull()).select(source.alias("s"), reached.alias("t"), F.lit(edge).alias("k"), said.alias("evidence"), "document_id", F.col(ident).alias("ord")))
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    # of a row delivered twice the first evidence in order may be either: the least is taken
+    least = every.groupBy("s", "t", "k", "document_id", "ord").agg(F.min("evidence").alias("evidence"))
+    e = graph.edges(least, source="s", target="t", kind="k", document="document_id", evidence="evidence", order="ord")
+    return e.withColumn("source_pmids", F.array_join("source_pmids", "|"))
+
+
+@query(r"""WITH d AS (SELECT DISTINCT a.alternative_id, lower(a.standard_name) AS m, lower(d.body_text) AS t FROM alternatives a JOIN articles d USING (document_id) WHERE regexp_matches(a.standard_name, '^[\x21-\x7e][\x20-\x7e]*[\x21-\x7e]$') AND d.body_text IS NOT NULL)
+SELECT alternative_id, coalesce(min(p), -1) AS start_pos FROM (SELECT alternative_id, CASE WHEN regexp_matches(t, '(?s)^(.*?[^\p{L}])??' || regexp_escape(m) || '([^\p{L}]|$)') THEN length(regexp_extract(t, '(?s)^((?:.*?[^\p{L}])??)' || regexp_escape(m) || '(?:[^\p{L}]|$)', 1)) END AS p FROM d) GROUP BY 1""")
+def word_align(spark: SparkSession, sf: str) -> DataFrame:
+    """Where an article's body names a substance, any case, not inside a word: the first tier of alignment in the JVM."""
+    a = table(spark, sf, "alternatives").where(F.col("standard_name").rlike(r"^[\x21-\x7e][\x20-\x7e]*[\x21-\x7e]$")).select("document_id", "alternative_id", "standard_name")
+    d = table(spark, sf, "articles").where("body_text IS NOT NULL").select("document_id", "body_text")
+    return a.join(d, "document_id").select("alternative_id", align.word_position(F.col("standard_name"), F.col("body_text")).cast("long").alias("start_pos")).distinct()
