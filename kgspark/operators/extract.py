@@ -61,6 +61,19 @@ def resolve_items(items: Sequence[dict], attributes: str = "_attributes", index:
     return out
 
 
+def render_answer(mentions: Sequence[tuple[str, str, dict[str, str]]], wrapper: str = "extractions", attributes: str = "_attributes", fmt: str = "json", fenced: bool = False) -> str:
+    """The answer that holds these mentions (class, text, attributes), as a worked example shows it to a model: what
+    ``parse_output`` and ``resolve_items`` read back."""
+    data = {wrapper: [{c: t} | ({c + attributes: a} if a else {}) for c, t, a in mentions]}
+    if fmt == "yaml":
+        import yaml
+
+        body = yaml.safe_dump(data, allow_unicode=True, sort_keys=False)
+    else:
+        body = json.dumps(data, ensure_ascii=False, indent=2)
+    return f"```{fmt}\n{body.rstrip()}\n```" if fenced else body
+
+
 def resolve_outputs(outputs: DataFrame, keep: list[str], output: str, wrapper: str = "extractions", fmt: str = "json") -> DataFrame:
     """One row per mention: kept columns, ext_ord, extraction_class, extraction_text, attributes, parse_error.
 

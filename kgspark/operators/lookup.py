@@ -77,6 +77,16 @@ def marked(parents: DataFrame, children: DataFrame, scope: Sequence[str], ident:
     return parents.join(hit, ident, "left").withColumn("named", F.coalesce("named", F.lit(False)))
 
 
+def constrained(records: DataFrame, allowed: DataFrame, cls: str, identity: str) -> DataFrame:
+    """Records whose class and identity are listed in ``allowed`` (columns of the same names), any case; classes that are
+    not listed at all aren't constrained. A semi-join; the listed classes are few and broadcast by size."""
+    key = lambda df: df.select(F.col(cls).alias("__c"), F.lower(strip(F.col(identity))).alias("__k")).distinct()
+    a = key(allowed)
+    r = records.withColumns({"__c": F.col(cls), "__k": F.lower(strip(F.col(identity)))})
+    free = r.join(a.select("__c").distinct(), "__c", "left_anti")
+    return free.select(*records.columns).unionByName(r.join(a, ["__c", "__k"], "left_semi").select(*records.columns))
+
+
 def missing_targets(references: DataFrame, targets: DataFrame, scope: Sequence[str], ref: str, keys: Sequence[str], order: str) -> DataFrame:
     """(scope, key, name): one row to create per target that is named but absent, written as it is named first."""
     named = references.where(strip(F.col(ref)) != "").groupBy(*scope, F.lower(strip(F.col(ref))).alias("key")).agg(F.min_by(F.col(ref), F.col(order)).alias("name"))

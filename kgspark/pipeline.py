@@ -208,9 +208,12 @@ def build_graph(mentions: DataFrame, registry: Registry, class_nodes: bool = Fal
     return nodes, edges, unresolved.select("document_id", F.col("s").alias("source_id"), "field", "value", F.col("k").alias("type"), "targets", "ord")
 
 
-def run(articles: DataFrame, registry: Registry, make: Callable[[], extract.Extractor], settings: Settings | None = None, vocabularies: Mapping[str, DataFrame] | None = None) -> Result:
+def run(articles: DataFrame, registry: Registry, make: Callable[[], extract.Extractor], settings: Settings | None = None, vocabularies: Mapping[str, DataFrame] | None = None, given: Callable[[DataFrame], DataFrame] | None = None) -> Result:
     """Articles through all phases to mentions, graph and gate.
 
+    ``given`` makes mentions of the articles without a model (document_id, cls, name, attributes, evidence_text,
+    source_location); if the registry has the class Literature and nothing else is given, the front matter is read.
+
     A phase with a gate runs first, and only documents that pass it go into later phases, so nothing is asked about the
     others. Mentions are aligned to the article's whole text.
     """
@@ -224,7 +227,7 @@ def run(articles: DataFrame, registry: Registry, make: Callable[[], extract.Extr
         rows = checkpointed(classify(rows, listed)) if listed else rows
         found.append(rows)
         if phase.gate_condition and not settings.skip_gate:
-            test = gate.condition(phase.gate_condition, lambda f: F.col("attributes")[f])
+            test = gate.condition(phase.gate_condition, lambda f: F.coalesce(*(N.nonblank(F.col("attributes")[a]) for a in registry.gate_fields(phase.gate_entity, f)), F.lit(None).cast("string")))  # noqa: B023
             passes = (F.col("cls") == phase.gate_entity) & test if test is not None else None
             going, out = gate.split(going, rows, "document_id", passes)
             failed = failed.unionByName(out.select("document_id"))
@@ -243,6 +246,11 @@ def run(articles: DataFrame, registry: Registry, make: Callable[[], extract.Extr
     if settings.verify:
         parts = F.array_join(F.transform("sections", lambda s: s["section_text"]), "\n\n")
         placed = verified(placed, documents.join(articles.select("document_id", parts.alias("parts")), "document_id").select("document_id", F.concat_ws("\n\n", "text", "parts").alias("text")))
+    given = given or (src.literature if "Literature" in registry.entities else None)
+    if given is not None:
+        none = F.lit(None).cast("int")
+        first = given(articles).select("document_id", F.lit("given").alias("phase"), F.lit(0).alias("pass"), F.lit(0).cast("decimal(38,0)").alias("ord"), "cls", "name", "attributes", none.alias("start_pos"), none.alias("end_pos"), F.lit("given").alias("alignment_status"), "evidence_text", "source_location")
+        placed = placed.unionByName(first)
     placed = checkpointed(create_missing(placed, registry, listed(settings.create_missing)))
     mentions = checkpointed(clean(placed, registry, settings).join(going.select("document_id"), "document_id", "left_semi"))
     nodes, edges, unresolved = build_graph(mentions, registry, settings.class_nodes, settings.merge_names)
@@ -259,12 +267,14 @@ def deliver(result: Result, registry: Registry, out: str) -> None:
     """Review tables per class, graph files, manifest and summary below ``out``."""
     for cls in registry.entities:
         m = result.mentions.where(F.col("cls") == cls)
-        sinks.write_csv(sinks.review_table(m, ["document_id", "name", "evidence_text"], "attributes", [a.name for a in registry.entities[cls].attributes]), f"{out}/review/{cls}")
-    sinks.write_csv(sinks.neo4j_nodes(result.nodes, sinks.property_names(result.nodes)), f"{out}/graph/nodes")
-    sinks.write_csv(sinks.neo4j_edges(result.edges), f"{out}/graph/edges")
-    sinks.write_csv(result.unresolved.withColumn("targets", F.array_join("targets", "|")), f"{out}/graph/unresolved")
-    sinks.write_csv(sinks.manifest(result.passed, result.mentions.withColumnRenamed("name", "first_mention"), "document_id", "ord", ["first_mention"]), f"{out}/manifest")
-    sinks.write_csv(sinks.summary(result.passed, result.failed, result.mentions, "document_id", "cls"), f"{out}/summary")
+        sinks.write_csv(sinks.review_table(m, ["document_id", "name", "evidence_text"], "attributes", [a.name for a in registry.entities[cls].attributes]), f"{out}/review/{cls}", ["document_id", "name"])
+    sinks.write_csv(sinks.all_entities(result.mentions, ["document_id", "cls", "name", "evidence_text"], "attributes"), f"{out}/review/all_entities", ["document_id", "cls", "name"])
+    sinks.write_csv(sinks.neo4j_nodes(result.nodes, sinks.property_names(result.nodes)), f"{out}/graph/nodes", ["entity_id:ID"])
+    sinks.write_csv(sinks.neo4j_edges(result.edges), f"{out}/graph/edges", [":START_ID", ":END_ID", ":TYPE"])
+    sinks.write_csv(result.unresolved.withColumn("targets", F.array_join("targets", "|")), f"{out}/graph/unresolved", ["document_id", "source_id", "field", "value"])
+    sinks.write_csv(sinks.manifest(result.passed, result.mentions.withColumnRenamed("name", "first_mention"), "document_id", "ord", ["first_mention"]), f"{out}/manifest", ["document_id"])
+    sinks.write_csv(sinks.summary(result.passed, result.failed, result.mentions, "document_id", "cls"), f"{out}/summary", ["item"])
+    sinks.write_csv(result.failed, f"{out}/failed", ["document_id"])
 
 
 def numbered(mentions: DataFrame) -> DataFrame:

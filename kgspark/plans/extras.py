@@ -181,3 +181,11 @@ def word_align(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "alternatives").where(F.col("standard_name").rlike(r"^[\x21-\x7e][\x20-\x7e]*[\x21-\x7e]$")).select("document_id", "alternative_id", "standard_name")
     d = table(spark, sf, "articles").where("body_text IS NOT NULL").select("document_id", "body_text")
     return a.join(d, "document_id").select("alternative_id", align.word_position(F.col("standard_name"), F.col("body_text")).cast("long").alias("start_pos")).distinct()
+
+
+@query(f"WITH c AS ({SQL['conclusions']}) SELECT document_id, coalesce(nullif(title, ''), document_id) AS name, coalesce(doi, '') || '|' || coalesce(pmid, '') || '|' || coalesce(journal, '') || '|' || coalesce(publication_year, '') || '|' || coalesce(publication_date, '') || '|' || coalesce(conclusion, '') AS fields, 'front-matter:' || string_split(file_path, '/')[-1] AS source_location FROM articles LEFT JOIN c USING (document_id) WHERE coalesce(title, '') <> '' OR coalesce(doi, '') <> ''")
+def literature(spark: SparkSession, sf: str) -> DataFrame:
+    """What each article's front matter says of the article itself."""
+    m = src.literature(table(spark, sf, "articles"))
+    of = F.concat_ws("|", *(F.coalesce(F.col("attributes")[a], F.lit("")) for a in ("doi", "pmid", "journal", "publication_year", "publication_date", "abstract_conclusion")))
+    return m.select("document_id", "name", of.alias("fields"), "source_location")

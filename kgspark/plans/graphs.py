@@ -79,7 +79,15 @@ def belongs_to(spark: SparkSession, sf: str) -> DataFrame:
     return graph.belongs_to(n.withColumn("id", N.global_id(F.lit("Alternative"), F.col("standard_name"), F.lit(None).cast("string"), ["Alternative"])), ident="id", cls="entry_class")
 
 
-@query()
+_STEPS = f"""n AS (SELECT id, label AS l, {S.graph_name('name')} AS n, {S.graph_name('abbreviation')} AS a FROM nodes),
+k AS (SELECT l, n, arg_min(id, (way, id)) AS into_id FROM (SELECT l, a AS n, 0 AS way, id FROM n UNION ALL SELECT l, n, 1, id FROM n) WHERE n <> '' GROUP BY ALL),
+step AS (SELECT n.id, k.into_id FROM n JOIN k USING (l, n) WHERE n.n <> '' AND n.id <> k.into_id),
+walk AS (SELECT id, into_id AS cur, [id, into_id] AS path FROM step UNION ALL SELECT w.id, s.into_id, list_append(w.path, s.into_id) FROM walk w JOIN step s ON s.id = w.cur WHERE NOT list_contains(w.path, s.into_id)),
+ends AS (SELECT id, arg_max(cur, len(path)) AS cur, arg_max(path, len(path)) AS path FROM walk GROUP BY 1),
+merged AS (SELECT id, into_id FROM (SELECT e.id, CASE WHEN s.into_id IS NULL THEN cur ELSE list_min(path[list_position(path, s.into_id):]) END AS into_id FROM ends e LEFT JOIN step s ON s.id = e.cur) WHERE id <> into_id)"""
+
+
+@query(f"WITH RECURSIVE {_NODES}, {_STEPS} SELECT id, into_id AS \"into\" FROM merged")
 def merged_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """Nodes whose name is another node's abbreviation or full name, and where they go."""
     p = F.col("properties")
@@ -87,6 +95,16 @@ def merged_nodes(spark: SparkSession, sf: str) -> DataFrame:
     return graph.merge_map(n, ident="id", label="label", name="name", abbreviation="abbreviation", full="full")
 
 
+@query(f"""WITH RECURSIVE {_NODES}, {_STEPS}, r AS (SELECT n.*, coalesce(m.into_id, n.id) AS root FROM nodes n LEFT JOIN merged m USING (id)),
+d AS (SELECT root, array_to_string(list_sort(list(DISTINCT x)), '|') AS source_pmids FROM (SELECT root, unnest(string_split(source_pmids, '|')) AS x FROM r) WHERE x <> '' GROUP BY 1)
+SELECT root AS id, arg_min(name, (id <> root, id)) AS name, arg_min(abbreviation, (id <> root, id)) FILTER ({S.strip('abbreviation')} <> '') AS abbreviation, arg_min(cas_number, (id <> root, id)) FILTER ({S.strip('cas_number')} <> '') AS cas_number, any_value(d.source_pmids) AS source_pmids FROM r LEFT JOIN d USING (root) GROUP BY root""")
+def nodes_after_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The nodes that stay, their gaps filled from the nodes merged into them."""
+    p = F.col("properties")
+    n = graph.merge_nodes(_substance_nodes(spark, sf), merged_nodes(spark, sf))
+    return n.select("id", "name", p["abbreviation"].alias("abbreviation"), p["cas_number"].alias("cas_number"), F.array_join("source_pmids", "|").alias("source_pmids"))
+
+
 @query("""WITH m AS (SELECT * FROM (SELECT id, min(id) OVER (PARTITION BY substr(id, 1, 7)) AS into_id FROM (SELECT DISTINCT id FROM graph_nodes)) WHERE id <> into_id),
 e AS (SELECT DISTINCT id AS s, substr(id, 1, 4) || '_hub' AS t FROM graph_nodes UNION SELECT DISTINCT id, first_id FROM (SELECT id, min(id) OVER (PARTITION BY source) AS first_id FROM graph_nodes))
 SELECT DISTINCT coalesce(a.into_id, s) AS source_id, coalesce(b.into_id, t) AS target_id, 'linked' AS type FROM e LEFT JOIN m a ON a.id = s LEFT JOIN m b ON b.id = t WHERE coalesce(a.into_id, s) <> coalesce(b.into_id, t)""")

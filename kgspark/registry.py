@@ -131,3 +131,19 @@ class Registry:
     def reference_columns(self) -> list[tuple[str, str, str, str, str]]:
         """(class, field, target class, target field, edge) of every reference."""
         return [(n, r.name, r.target, r.target_field or self.entities[r.target].primary_text, r.edge) for n, e in self.entities.items() for r in e.references if r.target in self.entities]
+
+    def reference_maps(self) -> tuple[dict[str, list[tuple[str, str, str, str]]], dict[str, list[tuple[str, str, str]]]]:
+        """By class what it refers to (field, target class, target field, edge), and what refers to it (class, field, edge)."""
+        forward: dict[str, list[tuple[str, str, str, str]]] = {}
+        reverse: dict[str, list[tuple[str, str, str]]] = {}
+        for cls, name, target, key, edge in self.reference_columns():
+            forward.setdefault(cls, []).append((name, target, key, edge))
+            reverse.setdefault(target, []).append((cls, name, edge))
+        return forward, reverse
+
+    def gate_fields(self, name: str, field_name: str) -> list[str]:
+        """The attributes that a gate's field stands for: itself, or, if the class has no such attribute, those enums that
+        are filled in after extraction."""
+        attributes = self.entities[name].attributes if name in self.entities else ()
+        later = [a.name for a in attributes if a.source == "post" and a.type == "enum"]
+        return [field_name] if not later or any(a.name == field_name for a in attributes) else later

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.values import conclusion
+
 SCHEMA = (
     "document_id string, file_path string, pmcid string, pmid string, doi string, title string, journal string, abstract_text string, body_text string, "
     "publication_year string, publication_date string, sections array<struct<section_key:string,section_text:string>>, parse_warnings array<string>"
@@ -100,6 +102,18 @@ def to_documents(articles: DataFrame) -> DataFrame:
     return articles.select("document_id", text.alias("text"), meta.alias("additional_context"))
 
 
+def literature(articles: DataFrame) -> DataFrame:
+    """(document_id, cls, name, attributes, evidence_text, source_location): what an article's front matter says of the
+    article itself, read without a model; articles with neither title nor doi give none. Missing values are left out."""
+    stated = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
+    fields = {c: stated(c) for c in ("doi", "pmid", "title", "journal", "publication_year", "publication_date")}
+    fields["abstract_conclusion"] = F.nullif(conclusion(F.coalesce("abstract_text", F.lit(""))), F.lit(""))
+    attributes = F.map_filter(F.create_map(*(x for k, c in fields.items() for x in (F.lit(k), c))), lambda k, v: v.isNotNull())
+    place = F.concat(F.lit("front-matter:"), F.element_at(F.split("file_path", "/"), -1))
+    a = articles.where(stated("title").isNotNull() | stated("doi").isNotNull())
+    return a.select("document_id", F.lit("Literature").alias("cls"), F.coalesce(stated("title"), F.col("document_id")).alias("name"), attributes.alias("attributes"), F.coalesce("title", F.lit("")).alias("evidence_text"), F.coalesce(place, F.lit("front-matter:")).alias("source_location"))
+
+
 def phase_text(articles: DataFrame, phase: str) -> DataFrame:
     """(document_id, phase_text): the sections of a phase by the words in their keys, else its fallback, else the body.
 

@@ -52,6 +52,12 @@ def report(audit: DataFrame, phase: str, kind: str) -> DataFrame:
     return audit.rollup(phase).agg(*(F.count_if(F.col(kind) == k).alias(f"n_{k}") for k in ("changed", "warning", "dropped", "merged")))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A CSV folder; files are as many as partitions, so a large table isn't pulled into one task."""
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+def all_entities(mentions: DataFrame, fixed: Sequence[str], attributes: str) -> DataFrame:
+    """All mentions of all classes in one table: fixed columns, and all attributes as one JSON column."""
+    return mentions.select(*fixed, F.when(F.size(attributes) > 0, F.to_json(attributes)).alias("attributes"))
+
+
+def write_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """A CSV folder, sorted over all files by ``order``; files are as many as partitions, so a large table isn't pulled
+    into one task."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)

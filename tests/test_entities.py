@@ -73,6 +73,12 @@ def test_remap(spark):
     assert [tuple(r) for r in graph.remap(e, m).collect()] == [("a", "b", "t")]
 
 
+def test_constrained(spark):
+    r = spark.createDataFrame([("A", "X"), ("A", "y"), ("B", "q"), ("A", None)], "c string, k string")
+    ok = spark.createDataFrame([("A", " x"), ("A", "x")], "c string, k string")
+    assert sorted(map(tuple, lookup.constrained(r, ok, "c", "k").collect())) == [("A", "X"), ("B", "q")]
+
+
 def test_merged_nodes_fill_gaps(spark):
     n = spark.createDataFrame([("1", "A", "aa", {"x": "1", "y": " "}, ["d"]), ("2", "A", "bb", {"x": "2", "y": "3"}, ["e", "d"]), ("3", "A", "cc", {"y": "4", "z": "5"}, None), ("4", "B", "q", None, None)], "id string, label string, name string, properties map<string,string>, source_pmids array<string>")
     m = spark.createDataFrame([("2", "1"), ("3", "1")], "id string, into string")
@@ -231,6 +237,17 @@ def test_registry():
     schema = reg.json_schema()
     assert schema["properties"]["extractions"]["items"]["anyOf"][0]["properties"]["A_attributes"]["properties"]["kind"]["enum"] == ["x", "y"]
     assert reg.reference_columns() == [("R", "a", "A", "name", "uses")] and "name (string, required)" in reg.prompt(["A"])
+    assert reg.reference_maps() == ({"R": [("a", "A", "name", "uses")]}, {"A": [("R", "a", "uses")]})
+    late = Registry.from_mappings({"A": {"attributes": [{"name": "kind", "type": "enum", "source": "post"}, {"name": "n", "source": "post"}]}})
+    assert reg.gate_fields("A", "odd") == ["odd"] and late.gate_fields("A", "odd") == ["kind"] and late.gate_fields("A", "n") == ["n"] and late.gate_fields("B", "x") == ["x"]
+
+
+@pytest.mark.parametrize("fmt", ["json", "yaml"])
+@pytest.mark.parametrize("fenced", [True, False])
+def test_rendered_answers_are_read_back(fmt, fenced):
+    mentions = [("A", "zinc: ``oxide``", {"kind": "x", "n": "1,5 – 2"}), ("B", "é", {})]
+    text = extract.render_answer(mentions, fmt=fmt, fenced=fenced)
+    assert extract.resolve_items(extract.parse_output(text, fmt=fmt, strict=fenced)) == mentions
 
 
 def test_verify_is_the_row_rule(spark):
