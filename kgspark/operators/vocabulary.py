@@ -11,6 +11,8 @@ from .similarity import contains_join, near_join
 
 #: A vocabulary beyond this many keys isn't broadcast.
 MAX_KEYS = 100_000
+#: Up to so many keys comparing a name with all of them costs less than taking it apart into grams and segments.
+LOOP_KEYS = 1_000
 
 
 def entry_name(raw: Column) -> Column:
@@ -48,14 +50,17 @@ def cascade(names: DataFrame, name: str, vocabulary: DataFrame, least: int = 3,
     edits, 6 a part between commas by tiers 1 to 5; match_source is 'exact', 'fuzzy' or 'unmatched'. Within a tier the
     fewest edits, then the first key win. Keys shorter than ``least`` take part in the equal tiers only. All tiers are
     equi-joins over distinct names, on forms, on grams and on segments; the looser ones see only what the equal ones
-    leave. The forms of a vocabulary that is small (``MAX_KEYS``) are broadcast.
+    leave. The forms of a vocabulary that is small (``MAX_KEYS``) are broadcast; with very few keys (``LOOP_KEYS``) the
+    looser tiers compare a name with all of them, with the same outcome.
     """
-    v, tiny = checkpointed(vocabulary), is_small(vocabulary)
+    v = checkpointed(vocabulary)
+    n_keys = v.select("key").limit(MAX_KEYS + 1).count()
     distinct = names.select(F.col(name).alias("name")).where(strip(F.col("name")) != "").distinct()
-    first = _tiers(distinct.select("name", "name", F.lower(strip(F.col("name"))).alias("n")).toDF("name", "whole", "n"), v, least, edits, tiny)
-    left = distinct.join(first, "name", "left_anti").where(F.col("name").contains(","))
+    distinct = checkpointed(distinct)
+    first = checkpointed(_tiers(distinct.select("name", "name", F.lower(strip(F.col("name"))).alias("n")).toDF("name", "whole", "n"), v, least, edits, n_keys))
+    left = distinct.where(F.col("name").contains(",")).join(first, "name", "left_anti")
     parts = left.select("name", F.posexplode(F.split("name", ",")).alias("i", "p")).select("name", "i", F.lower(strip(F.col("p"))).alias("n")).where("n <> ''")
-    by_part = _tiers(parts.select(F.concat_ws("\u0000", "name", "n").alias("name"), F.col("name").alias("whole"), "n"), v, least, edits, tiny)
+    by_part = _tiers(parts.select(F.concat_ws("\u0000", "name", "n").alias("name"), F.col("name").alias("whole"), "n"), v, least, edits, n_keys)
     sixth = by_part.groupBy("whole").agg(F.min_by(F.struct("key", "entry_class", "entry_subclass"), F.struct("tier", "dist", "key")).alias("b"), F.lit(6).alias("tier"))
     found = first.select("name", "tier", "key", "entry_class", "entry_subclass").unionByName(sixth.select(F.col("whole").alias("name"), "tier", "b.key", "b.entry_class", "b.entry_subclass"))
     out = distinct.join(found, "name", "left")
@@ -63,17 +68,23 @@ def cascade(names: DataFrame, name: str, vocabulary: DataFrame, least: int = 3,
     return out.withColumn("entry_class", F.coalesce("entry_class", F.lit("Other"))).withColumn("match_source", source)
 
 
-def _tiers(names: DataFrame, v: DataFrame, least: int, edits: int, tiny: bool) -> DataFrame:
+def _tiers(names: DataFrame, v: DataFrame, least: int, edits: int, n_keys: int) -> DataFrame:
     """Best hit of each name by tiers 1 to 5; ``names`` has name, whole and n, the form compared."""
     forms = lambda c: F.explode(F.array(F.struct(F.lit(1).alias("tier"), c.alias("form")), F.struct(F.lit(2).alias("tier"), vocab_name(c).alias("form")), F.struct(F.lit(4).alias("tier"), _plain(c).alias("form")))).alias("f")
     mine = names.select("name", "whole", forms(F.col("n"))).select("name", "whole", "f.tier", "f.form").where("form <> ''")
     theirs = v.select("key", "entry_class", "entry_subclass", forms(F.col("key"))).select("key", "entry_class", "entry_subclass", "f.tier", "f.form").where("form <> ''")
     best = lambda df: df.groupBy("name", "whole").agg(F.min_by(F.struct("tier", "dist", "key", "entry_class", "entry_subclass"), F.struct("tier", "dist", "key")).alias("b")).select("name", "whole", "b.*")
-    equal = best(mine.join(F.broadcast(theirs) if tiny else theirs, ["tier", "form"]).withColumn("dist", F.lit(0)))
+    equal = checkpointed(best(mine.join(F.broadcast(theirs) if n_keys <= MAX_KEYS else theirs, ["tier", "form"]).withColumn("dist", F.lit(0))))
     # a name equal only in letters and digits may still contain a key, which comes first
     left = names.join(equal.where("tier < 3"), "name", "left_anti")
     forms = left.select("n").where("n <> ''").distinct()
     keys = v.where(F.char_length("key") >= least).select("key")
+    if n_keys <= LOOP_KEYS:
+        long, dist = F.char_length("n") >= least, F.levenshtein("n", "key", edits)
+        holds = (F.col("n").contains(F.col("key")) | F.col("key").contains(F.col("n"))) & long
+        met = forms.join(F.broadcast(keys), holds | (dist >= 0)).select("n", "key", F.when(holds, 3).otherwise(5).alias("tier"), dist.alias("dist"))
+        loose = left.join(met, "n").join(F.broadcast(v), "key").withColumn("dist", F.when(F.col("dist") >= 0, F.col("dist")).otherwise(edits + 1))
+        return best(equal.unionByName(loose.select(*equal.columns)))
     inside = contains_join(forms.where(F.char_length("n") >= least), keys, [], "n", "key").select("n", "key", F.lit(3).alias("tier"), F.levenshtein("n", "key", edits).alias("dist"))
     near = near_join(forms, keys, [], "n", "key", edits).select("n", "key", F.lit(5).alias("tier"), F.col("edits").alias("dist"))
     # one row for each pair: what contains is of tier 3, whatever the edits

@@ -73,6 +73,22 @@ def test_remap(spark):
     assert [tuple(r) for r in graph.remap(e, m).collect()] == [("a", "b", "t")]
 
 
+def test_cascade_is_the_same_by_loop_and_by_joins(spark, monkeypatch):
+    import random
+
+    random.seed(11)
+    word = lambda: "".join(random.choice("abcd") for _ in range(random.randint(1, 9)))
+    v = spark.createDataFrame([(f"C{i % 3}", "s", f"{word()} {word()}, {word()} (x), {word()}") for i in range(12)], "c string, s string, n string")
+    names = spark.createDataFrame([(f"{word()}{random.choice([' ', '-', ', '])}{word()}",) for _ in range(150)] + [(None,), (" ",), ("ab",)], "name string")
+    voc = vocabulary.load(v, "n", "c", "s")
+    out = []
+    for keys, loop in ((10**5, 1000), (10**5, 0), (0, 0)):
+        monkeypatch.setattr(vocabulary, "MAX_KEYS", keys)
+        monkeypatch.setattr(vocabulary, "LOOP_KEYS", loop)
+        out.append(sorted(str(r) for r in vocabulary.cascade(names, "name", voc).collect()))
+    assert out[0] == out[1] == out[2] and any("tier=5" in r for r in out[0]) and any("tier=3" in r for r in out[0])
+
+
 def test_constrained(spark):
     r = spark.createDataFrame([("A", "X"), ("A", "y"), ("B", "q"), ("A", None)], "c string, k string")
     ok = spark.createDataFrame([("A", " x"), ("A", "x")], "c string, k string")
