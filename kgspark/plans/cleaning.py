@@ -258,14 +258,6 @@ def case_consistency(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.spellings(m, ["base"], "standard_name")
 
 
-@query(r"""SELECT doc_id, unnest(CASE WHEN a <> '' AND contains(a, ' ') AND contains(b, ' ') AND length(t) - length(replace(t, ' ', '')) > 4 AND length(t) <= 60 THEN [t, a, b] ELSE [t] END) AS part FROM (
- SELECT doc_id, t, {a} AS a, {b} AS b FROM (SELECT doc_id, {t} AS t FROM documents WHERE text IS NOT NULL))""".replace("{t}", S.strip("string_split(text, '.')[1]")).replace("{a}", S.strip(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 1)")).replace("{b}", S.strip(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 2)")))
-def decompose_and(spark: SparkSession, sf: str) -> DataFrame:
-    """The first clause of each document, and its two sides if it reads 'A and B'."""
-    d = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.element_at(F.split("text", r"\."), 1).alias("t"))
-    return d.select("doc_id", F.explode(extract.split_conjunction(F.col("t"), ())).alias("part"))
-
-
 @query(r"""SELECT doc_id, pos, unnest(CASE WHEN a <> '' AND contains(a, ' ') AND contains(b, ' ') AND length(t) - length(replace(t, ' ', '')) > 4 AND length(t) <= 60 THEN [t, a, b] ELSE [t] END) AS part FROM (
  SELECT doc_id, pos, t, {a} AS a, {b} AS b FROM (SELECT doc_id, pos, {t} AS t FROM (SELECT doc_id, unnest(range(1, len(string_split(text, '.')) + 1)) - 1 AS pos, unnest(string_split(text, '.')) AS c FROM documents WHERE text IS NOT NULL)) WHERE t <> '')""".replace("{t}", _wide("c")).replace("{a}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 1)")).replace("{b}", _wide(r"regexp_extract(t, '(?i)^(.+?)\s+and\s+(.+)$', 2)")))
 def decompose_clauses(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import names as N
 from ..operators import align, dedup, graph, lookup, text
 from ..session import table
 from ..sources import articles as src
-from . import SQL, lookups, query
+from . import SQL, graphs, lookups, query
 from . import sqltext as S
 
 # what XML may not hold, and the line ends that its readers make one of
@@ -105,9 +105,7 @@ def relationships(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT document_id FROM articles WHERE document_id NOT IN (SELECT document_id FROM alternatives WHERE {S.strip('abbreviation')} <> '' AND document_id IS NOT NULL) ORDER BY document_id LIMIT 50")
 def first_failures(spark: SparkSession, sf: str) -> DataFrame:
     """The first 50 documents that fail the gate, which is all that a summary lists of them."""
-    from .graphs import _gated
-
-    return text.top_rows(_gated(spark, sf)[1].select("document_id").withColumn("one", F.lit(1)), ["one"], [F.col("document_id")], 50).select("document_id")
+    return text.top_rows(graphs._gated(spark, sf)[1].select("document_id").withColumn("one", F.lit(1)), ["one"], [F.col("document_id")], 50).select("document_id")
 
 
 @query(f"""WITH h AS (SELECT DISTINCT document_id, lower({S.strip('intervention_target')}) AS k FROM interventions WHERE {S.strip('intervention_target')} <> '')
@@ -189,3 +187,10 @@ def literature(spark: SparkSession, sf: str) -> DataFrame:
     m = src.literature(table(spark, sf, "articles"))
     of = F.concat_ws("|", *(F.coalesce(F.col("attributes")[a], F.lit("")) for a in ("doi", "pmid", "journal", "publication_year", "publication_date", "abstract_conclusion")))
     return m.select("document_id", "name", of.alias("fields"), "source_location")
+
+
+@query(f"""WITH RECURSIVE {graphs._NODES}, {graphs._STEPS}, e AS ({SQL['all_edges']})
+SELECT DISTINCT coalesce(a.into_id, source_id) AS source_id, coalesce(b.into_id, target_id) AS target_id, type FROM e LEFT JOIN merged a ON a.id = source_id LEFT JOIN merged b ON b.id = target_id WHERE coalesce(a.into_id, source_id) <> coalesce(b.into_id, target_id)""")
+def edges_after_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """All edges, their ends moved to the nodes that others were merged into."""
+    return graph.remap(all_edges(spark, sf), graphs.merged_nodes(spark, sf)).select("source_id", "target_id", "type")

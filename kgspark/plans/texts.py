@@ -61,8 +61,8 @@ def tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def graphemes(spark: SparkSession, sf: str) -> DataFrame:
-    """Tokens by user-perceived character, of the abstracts."""
-    return text.tokenize(table(spark, sf, "articles"), ["document_id"], "abstract_text", text.grapheme_tokens)
+    """Tokens by user-perceived character, of the documents."""
+    return text.tokenize(table(spark, sf, "documents"), ["doc_id"], "text", text.grapheme_tokens)
 
 
 @query()
