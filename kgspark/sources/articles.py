@@ -106,7 +106,7 @@ def literature(articles: DataFrame) -> DataFrame:
     """(document_id, cls, name, attributes, evidence_text, source_location): what an article's front matter says of the
     article itself, read without a model; articles with neither title nor doi give none. Missing values are left out."""
     stated = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
-    fields = {c: stated(c) for c in ("doi", "pmid", "title", "journal", "publication_year", "publication_date")}
+    fields = {c: stated(c) for c in ("doi", "pmid", "title", "journal", "publication_year", "publication_date") if c in articles.columns}
     fields["abstract_conclusion"] = F.nullif(conclusion(F.coalesce("abstract_text", F.lit(""))), F.lit(""))
     attributes = F.map_filter(F.create_map(*(x for k, c in fields.items() for x in (F.lit(k), c))), lambda k, v: v.isNotNull())
     place = F.concat(F.lit("front-matter:"), F.element_at(F.split("file_path", "/"), -1))
