@@ -53,8 +53,9 @@ def group_matches(pairs: DataFrame, left: str, right: str, scope: str | None = N
     e = pairs.select(s.alias("s"), F.col(left).cast("long").alias("x"), F.col(right).cast("long").alias("y"))
     e = e.where(F.col("s").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull() & (F.col("x") != F.col("y")))
     links = checkpointed(e.select("s", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    forest: list[DataFrame] = []
-    while n := links.count():
+    forest: list[tuple[DataFrame, int]] = []
+    n = links.count()
+    while n:  # the number of links, or more if some are there several times
         each = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")
         # min selection: u sends the least of its neighbourhood to all of it, itself included
         edges = _with_least(links.select("s", each).select("s", "e.*"), {"m": "v"}, 2 * n, hot_rows).withColumn("m", F.least("m", "u"))
@@ -63,13 +64,14 @@ def group_matches(pairs: DataFrame, left: str, right: str, scope: str | None = N
         own = known.withColumn("own", F.when(F.col("m") == F.col("u"), F.col("u")))
         judged = checkpointed(_with_least(own, {"top": "m", "stays": "own"}, 4 * n, hot_rows))
         # pruning: who is nobody's least leaves the graph and hangs under the least it knows
-        forest.append(judged.where("stays IS NULL AND m = top").select("s", "u", F.col("top").alias("parent")))
-        links = judged.where("m <> top").select("s", F.col("top").alias("a"), F.col("m").alias("b")).distinct()
+        forest.append((judged.where("stays IS NULL AND m = top").select("s", "u", F.col("top").alias("parent")), 4 * n))
+        rest = judged.where("m <> top").select("s", F.col("top").alias("a"), F.col("m").alias("b"))
+        links, n = rest.distinct(), rest.count()
     labels: list[DataFrame] = []
-    for tree in reversed(forest):
+    for tree, most in reversed(forest):
         if labels:
             above = reduce(DataFrame.unionByName, labels).select("s", F.col("u").alias("parent"), "label")
-            tree = lookup_join(tree, above, ["s", "parent"], "left", hot_rows=hot_rows).select("s", "u", F.coalesce("label", "parent").alias("label"))
+            tree = lookup_join(tree, above, ["s", "parent"], "left", hot_rows=hot_rows, hot=None if most < hot_rows else "find").select("s", "u", F.coalesce("label", "parent").alias("label"))
             labels.append(checkpointed(tree))
         else:
             labels.append(tree.withColumnRenamed("parent", "label"))
