@@ -10,7 +10,7 @@ from ..functions import names as N
 from ..operators import align, extract, text
 from ..session import ensure_checkpoint_dir, table
 from ..sources import articles as src
-from . import query
+from . import SQL, query
 from . import sqltext as S
 
 
@@ -53,7 +53,17 @@ def stem_counts(spark: SparkSession, sf: str) -> DataFrame:
     return w.groupBy(text.stem(F.col("w")).alias("stem")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+# a token is a run of characters of one group: letters and marks (joiners are among them), digits, or one same symbol
+_GROUPS = r"""CASE WHEN regexp_matches(c, '^\p{Nd}$') THEN 'N' WHEN regexp_matches(c, '^(\p{L}|\p{M}|\p{Nl}|[\x{200c}\x{200d}])$') THEN 'W'
+ WHEN regexp_matches(c, '^[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]$') THEN NULL ELSE 'S' || c END"""
+
+
+@query(f"""WITH d AS (SELECT doc_id, regexp_extract_all(text, '(?s).') AS cs FROM documents WHERE text IS NOT NULL),
+k AS (SELECT doc_id, pos, c, {_GROUPS} AS g FROM (SELECT doc_id, unnest(range(0, len(cs))) AS pos, unnest(cs) AS c FROM d)),
+b AS (SELECT *, CASE WHEN pos > 0 AND g IS NOT DISTINCT FROM lag(g) OVER w THEN 0 ELSE 1 END AS fresh, count_if(c IN (chr(10), chr(13))) OVER w AS lines FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM b),
+t AS (SELECT doc_id, run, min(pos) AS s, max(pos) + 1 AS e, any_value(g) AS g, min(lines) AS lines, string_agg(c, '' ORDER BY pos) AS token FROM r WHERE g IS NOT NULL GROUP BY ALL)
+SELECT doc_id, row_number() OVER w - 1 AS token_idx, CASE g WHEN 'W' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS token_type, s AS start_pos, e AS end_pos, lines > coalesce(lag(lines) OVER w, 0) AS after_newline, token FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY s)""")
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
     """All tokens of the documents with their places."""
     return text.tokenize(table(spark, sf, "documents"), ["doc_id"], "text")
@@ -65,7 +75,14 @@ def graphemes(spark: SparkSession, sf: str) -> DataFrame:
     return text.tokenize(table(spark, sf, "documents"), ["doc_id"], "text", text.grapheme_tokens)
 
 
-@query()
+_ABBREVIATIONS = "'Mr.', 'Mrs.', 'Ms.', 'Dr.', 'Prof.', 'St.'"
+
+
+@query(f"""WITH t AS ({SQL['tokens']}), u AS (SELECT *, lag(token) OVER w AS before, lead(token) OVER w AS after, token_type = 2 AND token IN ('.', '?', '!', '。', '！', '？', '।') AS closing FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY token_idx)),
+v AS (SELECT *, closing AND NOT (token = '.' AND coalesce(before || '.', '') IN ({_ABBREVIATIONS})) AS ends, NOT closing AND after_newline AND regexp_matches(coalesce(after[1], ''), '^\\p{{Lu}}$') AS breaks FROM u),
+s AS (SELECT *, CASE WHEN token_idx = 0 OR breaks OR lag(ends OR breaks) OVER (PARTITION BY doc_id ORDER BY token_idx) THEN 1 ELSE 0 END AS first FROM v),
+n AS (SELECT *, sum(first) OVER (PARTITION BY doc_id ORDER BY token_idx) - 1 AS i FROM s)
+SELECT doc_id, i::BIGINT AS sentence_idx, min(token_idx) AS token_start, max(token_idx) + 1 AS token_end, min(start_pos) AS start_pos, max(end_pos) AS end_pos, substr(any_value(text), min(start_pos) + 1, max(end_pos) - min(start_pos)) AS sentence FROM n JOIN documents USING (doc_id) GROUP BY doc_id, i""")
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences of the documents."""
     return text.split_sentences(table(spark, sf, "documents"), ["doc_id"], "text")
