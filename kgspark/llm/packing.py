@@ -80,7 +80,7 @@ def _placed(classes: DataFrame, capacity: int) -> DataFrame:
     Rounds: as many containers are opened as the items left need at least, the largest items going into one each by
     rank; then sweeps in parallel match items and gaps range by range, each leaving what it can't match to a sweep over
     coarser ranges, until nothing fits. The state of a round is a table of runs: items of one size, and containers with
-    one gap, are alike. It has at most as many rows as there are sizes, whatever the number of items.
+    one gap, are alike. Its rows grow with the number of different sizes and of sweeps, not with the number of items.
     """
     state = checkpointed(classes.select(F.lit("item").alias("kind"), "size", F.lit(0).cast("long").alias("first"), "n", *(F.lit(0).cast("long").alias(c) for c in ("box", "place", "per"))))
     moves, opened = [], 0
@@ -115,7 +115,7 @@ def pack(items: DataFrame, *, key: str, size: str, capacity: int) -> DataFrame:
     An item larger than the capacity is cut into full parts, each alone in a container, and a rest; no other item is
     divided. Items of size 0 or null are kept with a null sequence_id. Items are range-sorted by (size, key) and ranked
     over the whole cluster; the rounds of ``_placed`` run in the cluster on runs of alike items and gaps, and their
-    outcome, ranges of ranks beside ranges of containers, bounded by the capacity, is broadcast, so each item looks its
+    outcome, ranges of ranks beside ranges of containers, of which there are as few, is broadcast, so each item looks its
     place up where it lies: items are sorted once and never regrouped, and a size that a third of all items share is
     spread over many partitions. Repeated keys are packed each time they occur; the result depends only on keys and
     sizes (ties of both are alike); an empty table gives an empty result.
