@@ -194,3 +194,22 @@ SELECT DISTINCT coalesce(a.into_id, source_id) AS source_id, coalesce(b.into_id,
 def edges_after_merge(spark: SparkSession, sf: str) -> DataFrame:
     """All edges, their ends moved to the nodes that others were merged into."""
     return graph.remap(all_edges(spark, sf), graphs.merged_nodes(spark, sf)).select("source_id", "target_id", "type")
+
+
+_IND, _SITE = S.global_id("indi", "Indicator", "abbreviation"), S.global_id("tiss", "Tissue_Site", "{}")
+
+
+@query(f"""WITH n AS (SELECT {_IND} AS id FROM indicators WHERE {S.strip('abbreviation')} <> '' AND {S.strip('unit')} <> '' UNION SELECT {_SITE.format('site_name')} FROM tissue_sites WHERE {S.strip('site_name')} <> '' AND deleted_at IS NULL),
+e AS (SELECT DISTINCT {_IND} AS source_id, {_SITE.format('measured_in')} AS target_id, 'measured_in' AS type FROM indicators WHERE {S.strip('abbreviation')} <> '' AND {S.strip('measured_in')} <> '')
+SELECT *, source_id NOT IN (SELECT id FROM n) AS no_source, target_id NOT IN (SELECT id FROM n) AS no_target FROM e WHERE source_id NOT IN (SELECT id FROM n) OR target_id NOT IN (SELECT id FROM n)""")
+def dangling_ends(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges from indicators to sites of which an end is no node, and which end."""
+    gid = lambda cls, c: N.global_id(F.lit(cls), F.col(c), F.lit(None).cast("string"), ["Indicator", "Tissue_Site"])
+    stated = lambda c: N.nonblank(F.col(c)).isNotNull()
+    i, t = table(spark, sf, "indicators"), table(spark, sf, "tissue_sites")
+    nodes = i.where(stated("abbreviation") & stated("unit")).select(gid("Indicator", "abbreviation").alias("id")).union(t.where(stated("site_name") & F.col("deleted_at").isNull()).select(gid("Tissue_Site", "site_name").alias("id"))).distinct()
+    edges = i.where(stated("abbreviation") & stated("measured_in")).select(gid("Indicator", "abbreviation").alias("source_id"), gid("Tissue_Site", "measured_in").alias("target_id"), F.lit("measured_in").alias("type")).distinct()
+    lost = graph.dangling_edges(edges, nodes)
+    for end in ("source", "target"):
+        lost = lost.join(nodes.select(F.col("id").alias(f"{end}_id"), F.lit(False).alias(f"no_{end}")), f"{end}_id", "left").withColumn(f"no_{end}", F.coalesce(f"no_{end}", F.lit(True)))
+    return lost
