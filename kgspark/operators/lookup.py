@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import initials, relation_name, strip
-from .similarity import contains_join, words_join
+from .similarity import beside, contains_join, halves, shares_words, unplanned, wide_scopes, words_join
 
 
 def alias_table(entities: DataFrame, *, scope: Sequence[str], ident: str, text: str, attributes: str) -> DataFrame:
@@ -22,24 +22,42 @@ def find(references: DataFrame, entities: DataFrame, *, scope: Sequence[str], re
     """(ref_id, ident, tier) of each reference that names an entity of its scope.
 
     Tier 1 equal in any case, 2 equal without brackets and punctuation, 3 one contains the other, 4 two or more words
-    shared, 5 initials; of the best tier the least id is taken. Every tier is an equi-join: on forms, on grams, on words,
-    on initials; the looser tiers see only the references that the equal ones leave.
+    shared, 5 initials; of the best tier the least id is taken. References meet the entities of their scope; in scopes
+    with many of both every tier is an equi-join instead (``_find_by_keys``).
     """
     refs = references.select(*scope, ref_id, F.col(ref).alias("__r")).where(strip(F.col("__r")) != "")
-    ents = entities.select(*scope, ident, F.col(name).alias("__n")).where(strip(F.col("__n")) != "").distinct()
+    ents = entities.select(*scope, ident, F.col(name).alias("__n")).where(strip(F.col("__n")) != "")
+    wide = wide_scopes(refs, ents, scope)
+    (few_r, many_r), (few_e, many_e) = halves(refs, wide, scope), halves(ents, wide, scope)
+    mine = few_r.select(*scope, ref_id, F.lower(strip(F.col("__r"))).alias("__a"), relation_name(F.col("__r")).alias("__x"), F.upper(strip(F.col("__r"))).alias("__i"))
+    theirs = few_e.select(*scope, ident, F.lower(strip(F.col("__n"))).alias("__b"), relation_name(F.col("__n")).alias("__y"), initials(F.col("__n")).alias("__j"))
+    x, y = F.col("__x"), F.col("__y")
+    tier = F.when(F.col("__a") == F.col("__b"), 1).when((x != "") & (x == y), 2)
+    tier = tier.when((F.char_length(x) >= 3) & (F.char_length(y) >= 3) & (x.contains(y) | y.contains(x)), 3).when(shares_words("__x", "__y", 2), 4)
+    tier = tier.when((F.col("__i") == F.col("__j")) & (F.char_length("__i") >= 2), 5)
+    hits = beside(mine, theirs, scope, F.lit(True), "inner").select(ref_id, ident, tier.alias("tier")).where("tier IS NOT NULL")
+    if wide is not None:
+        hits = hits.unionByName(_find_by_keys(many_r, many_e, scope, ref_id, ident))
+    best = hits.groupBy(ref_id).agg(F.min(F.struct("tier", ident)).alias("b"))
+    return best.select(ref_id, F.col(f"b.{ident}").alias(ident), "b.tier")
+
+
+def _find_by_keys(refs: DataFrame, ents: DataFrame, scope: Sequence[str], ref_id: str, ident: str) -> DataFrame:
+    """``find`` by equi-joins alone: on forms, on grams, on words, on initials; the looser tiers see only the references
+    that the equal ones leave."""
+    ents = ents.distinct()
     forms = lambda c: F.explode(F.array(F.struct(F.lit(1).alias("tier"), F.lower(strip(c)).alias("form")), F.struct(F.lit(2).alias("tier"), relation_name(c).alias("form")))).alias("f")
     mine = refs.select(*scope, ref_id, forms(F.col("__r"))).select(*scope, ref_id, "f.*").where("form <> ''")
     keyed = ents.select(*scope, ident, forms(F.col("__n"))).select(*scope, ident, "f.*").where("form <> ''").groupBy(*scope, "tier", "form").agg(F.min(ident).alias(ident))
-    equal = mine.join(keyed, [*scope, "tier", "form"]).groupBy(ref_id).agg(F.min(F.struct("tier", ident)).alias("b"))
+    equal = mine.join(unplanned(keyed), [*scope, "tier", "form"]).groupBy(ref_id).agg(F.min(F.struct("tier", ident)).alias("b"))
     equal = equal.select(ref_id, F.col(f"b.{ident}").alias(ident), "b.tier")
-    left = refs.join(equal.select(ref_id), ref_id, "left_anti").withColumn("__x", relation_name(F.col("__r")))
+    left = refs.join(unplanned(equal.select(ref_id)), ref_id, "left_anti").withColumn("__x", relation_name(F.col("__r")))
     ents = ents.withColumn("__y", relation_name(F.col("__n")))
     short = F.char_length("__x") >= 3
     inside = contains_join(left.where(short), ents.where(F.char_length("__y") >= 3), scope, "__x", "__y").select(ref_id, ident, F.lit(3).alias("tier"))
     shared = words_join(left, ents, scope, "__x", "__y", 2).select(ref_id, ident, F.lit(4).alias("tier"))
-    by_initials = left.withColumn("__i", F.upper(strip(F.col("__r")))).where(F.char_length("__i") >= 2).join(ents.withColumn("__i", initials(F.col("__n"))), [*scope, "__i"]).select(ref_id, ident, F.lit(5).alias("tier"))
-    loose = inside.unionByName(shared).unionByName(by_initials).groupBy(ref_id).agg(F.min(F.struct("tier", ident)).alias("b"))
-    return equal.unionByName(loose.select(ref_id, F.col(f"b.{ident}").alias(ident), "b.tier"))
+    by_initials = left.withColumn("__i", F.upper(strip(F.col("__r")))).where(F.char_length("__i") >= 2).join(unplanned(ents.withColumn("__i", initials(F.col("__n")))), [*scope, "__i"]).select(ref_id, ident, F.lit(5).alias("tier"))
+    return equal.unionByName(inside).unionByName(shared).unionByName(by_initials)
 
 
 def detect(records: DataFrame, targets: DataFrame, *, scope: Sequence[str], ident: str, text: str, attributes: str, target_key: str, target_name: str) -> DataFrame:

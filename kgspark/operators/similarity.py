@@ -5,9 +5,48 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
+#: A scope of which one side has at most this many rows is joined by the scope alone: no row meets more rows than about
+#: as many keys as its grams or words would make of it. Larger scopes meet through such keys.
+SCOPE_ROWS = 64
+
+
+def wide_scopes(left: DataFrame, right: DataFrame, scope: Sequence[str], most: int = SCOPE_ROWS) -> DataFrame | None:
+    """The scopes with more than ``most`` rows on both sides; None if there are none. They are stored, not collected."""
+    count = lambda df, n: df.groupBy(*scope).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > most)
+    wide = checkpointed(unplanned(count(left, "__l")).join(unplanned(count(right, "__r")), list(scope)).select(*scope))
+    return None if wide.isEmpty() else wide
+
+
+def unplanned(df: DataFrame) -> DataFrame:
+    """``df`` for a join that sorts both sides and is never made a broadcast: the planner takes a table for as large as
+    its compressed columns, and what is exploded from it for no larger, so it may send far more to the driver than fits."""
+    return df.hint("merge")
+
+
+def halves(df: DataFrame, wide: DataFrame | None, scope: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of scopes that aren't wide, null scopes among them, and those of scopes that are."""
+    if wide is None:
+        return df, None
+    return df.join(unplanned(wide), list(scope), "left_anti"), df.join(unplanned(wide), list(scope), "left_semi")
+
+
+def beside(left: DataFrame, right: DataFrame, scope: Sequence[str], test: Column, how: str) -> DataFrame:
+    """``left`` joined to ``right`` by the scope alone where ``test`` holds; the scope's columns are those of the left."""
+    other = unplanned(right.withColumnsRenamed({s: f"__scope_{s}" for s in scope}))
+    same = reduce(lambda x, y: x & y, (F.col(s) == F.col(f"__scope_{s}") for s in scope))
+    return left.join(other, same & test, how).drop(*(f"__scope_{s}" for s in scope))
+
+
+def shares_words(a: str, b: str, least: int) -> Column:
+    """Two texts with single blanks between their words have at least ``least`` different words in common."""
+    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    return F.size(F.array_intersect(words(a), words(b))) >= least
+
 
 def _named(df: DataFrame, scope: Sequence[str], name: str) -> DataFrame:
     return df.select(*scope, F.col(name).alias("__n")).where("__n <> ''").distinct()
@@ -83,8 +122,9 @@ def contains_join(left: DataFrame, right: DataFrame, scope: Sequence[str], a: st
         return df.where(F.col(c) != "").select("*", F.explode(F.array_distinct(each)).alias("__g"))
 
     cols = [*scope, *(c for c in left.columns if c not in scope), *(c for c in right.columns if c not in scope)]
-    one = grams(left, a).join(opening(right, b), [*scope, "__g"]).where(F.col(a).contains(F.col(b)))
-    two = opening(left, a).join(grams(right, b), [*scope, "__g"]).where(F.col(b).contains(F.col(a)) & (F.col(a) != F.col(b)))
+    plan = unplanned if scope else lambda df: df  # without a scope one side is a vocabulary
+    one = grams(left, a).join(plan(opening(right, b)), [*scope, "__g"]).where(F.col(a).contains(F.col(b)))
+    two = opening(left, a).join(plan(grams(right, b)), [*scope, "__g"]).where(F.col(b).contains(F.col(a)) & (F.col(a) != F.col(b)))
     return one.select(*cols).unionByName(two.select(*cols))
 
 
@@ -92,7 +132,7 @@ def words_join(left: DataFrame, right: DataFrame, scope: Sequence[str], a: str,
     """Rows of both sides of one scope whose texts share at least ``least`` different words between blanks."""
     word = lambda df, c: df.select("*", F.explode(F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))).alias("__w"))
     cols = [*scope, *(c for c in left.columns if c not in scope), *(c for c in right.columns if c not in scope)]
-    met = word(left, a).join(word(right, b), [*scope, "__w"])
+    met = word(left, a).join(unplanned(word(right, b)), [*scope, "__w"])
     return met.groupBy(*cols).agg(F.count_distinct("__w").alias("__shared")).where(F.col("__shared") >= least).select(*cols)
 
 
