@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..operators import align, dedup, graph, lookup, text
+from ..operators.similarity import unplanned
 from ..session import table
 from ..sources import articles as src
 from . import SQL, graphs, lookups, query
@@ -98,7 +99,7 @@ def class_documents(spark: SparkSession, sf: str) -> DataFrame:
 def relationships(spark: SparkSession, sf: str) -> DataFrame:
     """The relationship table by the cascaded lookup: references whose target is found, with evidence cut to 500 characters."""
     i = table(spark, sf, "interventions").select("intervention_id", "document_id", F.substring("evidence_text", 1, 500).alias("evidence")).distinct()
-    out = lookups.find_targets(spark, sf).join(i, "intervention_id")
+    out = lookups.find_targets(spark, sf).join(unplanned(i), "intervention_id")
     return out.select("document_id", F.lit("Intervention").alias("source_type"), F.col("intervention_id").alias("source_id"), F.lit("uses").alias("relation"), F.lit("Alternative").alias("target_type"), F.col("alternative_id").alias("target_id"), "tier", "evidence")
 
 

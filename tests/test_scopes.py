@@ -18,7 +18,7 @@ def names(n, seed, scopes="d"):
     return [(i, random.choice(scopes), " ".join(random.choice(WORDS) for _ in range(random.randint(0, 5)))) for i in range(n)] + [(n, None, "zinc"), (n + 1, "d", None)]
 
 
-@pytest.mark.parametrize("name", ["find_targets"])
+@pytest.mark.parametrize("name", ["find_targets", "relationships"])
 def test_no_table_is_broadcast_by_its_size(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
