@@ -73,12 +73,19 @@ def detect(records: DataFrame, targets: DataFrame, *, scope: Sequence[str], iden
 
 
 def dangling(references: DataFrame, targets: DataFrame, scope: Sequence[str], ref: str, key: str) -> DataFrame:
-    """References that no target of their scope answers, neither equal nor one containing the other."""
+    """References that no target of their scope answers, neither equal nor one containing the other. They meet the targets
+    of their scope, in scopes with many of both by equal forms and grams."""
     r = references.where(strip(F.col(ref)) != "").withColumn("__r", F.lower(strip(F.col(ref))))
-    t = targets.select(*scope, F.lower(strip(F.col(key))).alias("__t")).where("__t <> ''").distinct()
-    left = r.join(t.withColumnRenamed("__t", "__r"), [*scope, "__r"], "left_anti")
-    near = contains_join(left.select(*scope, "__r").distinct(), t, scope, "__r", "__t").select(*scope, "__r").distinct()
-    return left.join(near, [*scope, "__r"], "left_anti").drop("__r")
+    t = targets.select(*scope, F.lower(strip(F.col(key))).alias("__t")).where("__t <> ''")
+    wide = wide_scopes(r, t, scope)
+    (few_r, many_r), (few_t, many_t) = halves(r, wide, scope), halves(t, wide, scope)
+    out = beside(few_r, few_t, scope, F.col("__r").contains(F.col("__t")) | F.col("__t").contains(F.col("__r")), "left_anti")
+    if wide is not None:
+        many_t = many_t.distinct()
+        left = many_r.join(unplanned(many_t.withColumnRenamed("__t", "__r")), [*scope, "__r"], "left_anti")
+        near = contains_join(left.select(*scope, "__r").distinct(), many_t, scope, "__r", "__t").select(*scope, "__r").distinct()
+        out = out.unionByName(left.join(unplanned(near), [*scope, "__r"], "left_anti"))
+    return out.drop("__r")
 
 
 def answered(parents: DataFrame, children: DataFrame, scope: Sequence[str], parent_keys: Sequence[str], ref: str) -> DataFrame:
