@@ -128,7 +128,15 @@ def rewrite(references: DataFrame, aliases: DataFrame, scope: Sequence[str], ref
 
 
 def overlapping_names(left: DataFrame, right: DataFrame, scope: Sequence[str], ident: str, a: str, b: str, least: int = 2) -> DataFrame:
-    """(ident) of the left rows whose name contains, lies in, or shares ``least`` words with a name of the right."""
-    x = left.select(*scope, ident, relation_name(F.col(a)).alias("__x")).where("__x <> ''").distinct()
-    y = right.select(*scope, relation_name(F.col(b)).alias("__y")).where("__y <> ''").distinct()
-    return contains_join(x, y, scope, "__x", "__y").select(ident).unionByName(words_join(x, y, scope, "__x", "__y", least).select(ident)).distinct()
+    """(ident) of the left rows whose name contains, lies in, or shares ``least`` words with a name of the right;
+    names meet within their scope, in scopes with many of both by grams and words."""
+    x = left.select(*scope, ident, relation_name(F.col(a)).alias("__x")).where("__x <> ''")
+    y = right.select(*scope, relation_name(F.col(b)).alias("__y")).where("__y <> ''")
+    wide = wide_scopes(x, y, scope)
+    (few_x, many_x), (few_y, many_y) = halves(x, wide, scope), halves(y, wide, scope)
+    test = F.col("__x").contains(F.col("__y")) | F.col("__y").contains(F.col("__x")) | shares_words("__x", "__y", least)
+    hits = beside(few_x, few_y, scope, test, "left_semi").select(ident)
+    if wide is not None:
+        many_x, many_y = many_x.distinct(), many_y.distinct()
+        hits = hits.unionByName(contains_join(many_x, many_y, scope, "__x", "__y").select(ident)).unionByName(words_join(many_x, many_y, scope, "__x", "__y", least).select(ident))
+    return hits.distinct()

@@ -18,7 +18,7 @@ def names(n, seed, scopes="d"):
     return [(i, random.choice(scopes), " ".join(random.choice(WORDS) for _ in range(random.randint(0, 5)))) for i in range(n)] + [(n, None, "zinc"), (n + 1, "d", None)]
 
 
-@pytest.mark.parametrize("name", ["find_targets", "relationships", "dangling_references"])
+@pytest.mark.parametrize("name", ["find_targets", "relationships", "dangling_references", "overlapping_targets"])
 def test_no_table_is_broadcast_by_its_size(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -56,3 +56,9 @@ def test_dangling_in_a_large_document(spark, monkeypatch):
     refs, ents = sides(spark)
     a, b = both_ways(monkeypatch, lookup, lambda: sorted(r["i"] for r in lookup.dangling(refs, ents.where("k % 9 > 0 AND n NOT LIKE '%z'"), ["d"], "r", "n").collect()))
     assert a == b and 90 in a and 91 not in a
+
+
+def test_overlapping_in_a_large_document(spark, monkeypatch):
+    refs, ents = sides(spark)
+    a, b = both_ways(monkeypatch, lookup, lambda: sorted(r["i"] for r in lookup.overlapping_names(refs, ents.where("n LIKE '%a%' AND n LIKE '% %'"), ["d"], "i", "r", "n").collect()))
+    assert a == b and 0 < len(a) < 90
