@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import abbreviates, coref_name, nonblank, strip
-from .similarity import contained_pairs, near_pairs
+from ..functions.names import abbreviates, contained, coref_name, nonblank, strip
+from .similarity import beside, contained_pairs, halves, near_pairs, unplanned, wide_scopes
 
 
 def alias_map(mentions: DataFrame, scope: Sequence[str], name: str, abbreviation: str) -> DataFrame:
@@ -33,20 +33,33 @@ def subset_aliases(mentions: DataFrame, scope: Sequence[str], name: str) -> Data
     return hit.groupBy(*scope, F.col("m").alias("alias")).agg(F.min_by("n", F.struct(F.char_length("n"), "n")).alias("canonical"))
 
 
-def name_pairs(keys: DataFrame, texts: DataFrame, scope: Sequence[str], edits: int = 1, overlap: float = 0.6) -> DataFrame:
+def name_pairs(keys: DataFrame, texts: DataFrame, scope: Sequence[str], edits: int = 1, overlap: float = 0.6, wide: DataFrame | None | str = "find") -> DataFrame:
     """(scope, a, b, way): keys of one scope that may name the same thing, each pair once.
 
     way 'near' is at most ``edits`` edits, 'inside' is one key inside the other (at least ``overlap`` of its length),
-    'short' is a text of one (``texts``: scope, key, text) that abbreviates a text of the other. All three are equi-joins:
-    on segments, on substrings, and on an abbreviation's first letter among the letters of the full name.
+    'short' is a text of one (``texts``: scope, key, text) that abbreviates a text of the other. The keys of a scope meet
+    each other; in scopes with many (``wide``, if the caller knows them) all three are equi-joins: on segments, on
+    substrings, and on an abbreviation's first letter among the letters of the full name.
     """
-    ways = [near_pairs(keys, scope, "key", edits).withColumn("way", F.lit("near")), contained_pairs(keys, scope, "key", overlap).withColumn("way", F.lit("inside"))]
+    if isinstance(wide, str):
+        wide = wide_scopes(texts, texts, scope)
+    (few_k, many_k), (few_t, many_t) = halves(keys.select(*scope, "key"), wide, scope), halves(texts.select(*scope, "key", "text"), wide, scope)
     size = F.char_length(strip(F.col("text")))
-    short = texts.where(size.between(1, 5)).select(*scope, F.col("key").alias("a"), F.col("text").alias("__s"), F.lower(F.substring(strip(F.col("text")), 1, 1)).alias("__c"))
-    letters = F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("__c")
-    full = texts.where(size > 5).select(*scope, F.col("key").alias("b"), F.col("text").alias("__f"), letters)
-    met = short.join(full, [*scope, "__c"]).where((F.col("a") != F.col("b")) & abbreviates(F.col("__s"), F.col("__f")))
-    ways.append(met.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit("short").alias("way")).distinct())
+    short = lambda df: df.where(size.between(1, 5)).select(*scope, F.col("key").alias("a"), F.col("text").alias("__s"), F.lower(F.substring(strip(F.col("text")), 1, 1)).alias("__c"))
+    full = lambda df, *more: df.where(size > 5).select(*scope, F.col("key").alias("b"), F.col("text").alias("__f"), *more)
+    stands = (F.col("a") != F.col("b")) & abbreviates(F.col("__s"), F.col("__f"))
+    pair = lambda df: df.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit("short").alias("way")).distinct()
+    a, b = F.col("a"), F.col("b")
+    # the lengths allow only so many edits
+    near = (F.abs(F.char_length(a) - F.char_length(b)) <= edits) & (F.levenshtein(a, b, edits) >= 0)
+    way = F.explode(F.array_compact(F.array(F.when(near, F.lit("near")), F.when(contained(a, b, overlap - 1e-9), F.lit("inside"))))).alias("way")
+    named = few_k.where("key <> ''").distinct()
+    met = beside(named.withColumnRenamed("key", "a"), named.withColumnRenamed("key", "b"), scope, a < b, "inner")
+    ways = [met.select(*scope, "a", "b", way), pair(beside(short(few_t), full(few_t), scope, F.lower("__f").contains(F.col("__c")) & stands, "inner"))]
+    if wide is not None:
+        ways += [near_pairs(many_k, scope, "key", edits).withColumn("way", F.lit("near")), contained_pairs(many_k, scope, "key", overlap).withColumn("way", F.lit("inside"))]
+        letters = F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("__c")
+        ways.append(pair(short(many_t).join(unplanned(full(many_t, letters)), [*scope, "__c"]).where(stands)))
     return reduce(DataFrame.unionByName, ways)
 
 
@@ -100,21 +113,43 @@ def resolve(mentions: DataFrame, scope: Sequence[str], *, order: str, text: str,
     key = coref_name(F.coalesce(nonblank(F.col(attribute)), F.col(text)) if attribute else F.col(text))
     m = mentions.withColumn("__k", F.nullif(key, F.lit("")))
     if aliases is not None:
-        m = m.join(aliases.select(*scope, F.col("alias").alias("__k"), F.col("canonical").alias("__c")), [*scope, "__k"], "left").withColumn("__k", F.coalesce("__c", "__k")).drop("__c")
+        m = m.join(unplanned(aliases.select(*scope, F.col("alias").alias("__k"), F.col("canonical").alias("__c"))), [*scope, "__k"], "left").withColumn("__k", F.coalesce("__c", "__k")).drop("__c")
     if not fuzzy:
         return m.withColumnRenamed("__k", "group_key")
     known = m.where("__k IS NOT NULL").select(*scope, F.col("__k").alias("key"), F.col(order).alias("o"), F.col(text).alias("text"))
     keys = known.groupBy(*scope, "key").agg(F.min("o").alias("o"))
-    pairs = name_pairs(keys, known.select(*scope, "key", "text").distinct(), scope, edits, overlap)
+    pairs = name_pairs(keys, known.select(*scope, "key", "text").distinct(), scope, edits, overlap, wide_scopes(mentions, mentions, scope))
     for side in ("a", "b"):
-        pairs = pairs.join(keys.select(*scope, F.col("key").alias(side), F.col("o").alias(f"o_{side}")), [*scope, side])
+        pairs = pairs.join(unplanned(keys.select(*scope, F.col("key").alias(side), F.col("o").alias(f"o_{side}"))), [*scope, side])
+    scope = list(scope)
     types = ", ".join(f"`{s}` {mentions.schema[s].dataType.simpleString()}" for s in scope)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        when = dict(zip([*pdf["a"], *pdf["b"]], [*pdf["o_a"], *pdf["o_b"]]))
+    def merged_rows(where: tuple, listed: list[tuple]) -> list[tuple]:
+        when = {k: o for a, b, _, o_a, o_b in listed for k, o in ((a, o_a), (b, o_b))}
         place = {k: i for i, k in enumerate(sorted(when, key=lambda k: (when[k], k)))}
-        to = merge_in_order(place, zip(pdf["a"], pdf["b"], pdf["way"]))
-        return pd.DataFrame({s: [pdf[s].iloc[0]] * len(to) for s in scope} | {"__k": list(to), "__g": list(to.values())})
-
-    merged = pairs.groupBy(*scope).applyInPandas(run, f"{types}, __k string, __g string")
-    return m.join(merged, [*scope, "__k"], "left").withColumn("group_key", F.coalesce("__g", "__k")).drop("__k", "__g")
+        return [(*where, k, g) for k, g in merge_in_order(place, ((a, b, way) for a, b, way, *_ in listed)).items()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, listed, out, kinds = None, [], [], []
+
+        def full() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[*scope, "__k", "__g"])
+
+        for batch in batches:
+            kinds = [*(batch[s].type for s in scope), pa.string(), pa.string()]
+            rows = zip(*(batch[c].to_pylist() for c in ("a", "b", "way", "o_a", "o_b")))
+            for here, row in zip(zip(*(batch[s].to_pylist() for s in scope)), rows):
+                if here != where:
+                    out += merged_rows(where, listed) if listed else []
+                    where, listed = here, []
+                    if len(out) >= 10_000:
+                        yield full()
+                        out = []
+                listed.append(row)
+        out += merged_rows(where, listed) if listed else []
+        if out:
+            yield full()
+
+    # a scope's pairs follow one another, so one scope is held at a time
+    merged = pairs.repartition(*scope).sortWithinPartitions(*scope).mapInArrow(run, f"{types}, __k string, __g string")
+    return m.join(unplanned(merged), [*scope, "__k"], "left").withColumn("group_key", F.coalesce("__g", "__k")).drop("__k", "__g")

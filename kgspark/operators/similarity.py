@@ -61,6 +61,7 @@ def near_join(left: DataFrame, right: DataFrame, scope: Sequence[str], a: str, b
     near nothing; each pair of different texts is there once.
     """
     k, scope = edits, list(scope)
+    plan = unplanned if scope else lambda df: df  # without a scope one side is a vocabulary
     named = lambda df, c: df.select(*scope, F.col(c).alias("__n")).where("__n <> ''").distinct().withColumn("__len", F.char_length("__n"))
     mine, theirs = named(left, a), named(right, b)
 
@@ -78,9 +79,9 @@ def near_join(left: DataFrame, right: DataFrame, scope: Sequence[str], a: str, b
     at, size = place(F.col("__len"), F.col("__i"))
     probe = probe.withColumns({"__at": at + F.col("__d"), "__size": size}).where("__at >= 0 AND __at + __size <= __own")
     probe = probe.select(*scope, F.col("__n").alias("__b"), "__len", "__i", F.substring("__n", F.col("__at") + 1, F.col("__size")).alias("__part")).distinct()
-    met = segs.join(probe, [*scope, "__len", "__i", "__part"]).select(*scope, "__a", "__b")
+    met = segs.join(plan(probe), [*scope, "__len", "__i", "__part"]).select(*scope, "__a", "__b")
     reach = theirs.where(F.col("__len") <= 2 * k).select(*scope, F.col("__n").alias("__b"), F.explode(F.sequence(F.greatest(F.col("__len") - k, F.lit(1)), F.least(F.col("__len") + k, F.lit(k)))).alias("__len")) if k else None
-    short = [mine.where(F.col("__len") <= k).select(*scope, F.col("__n").alias("__a"), "__len").join(reach.where("__len >= 1"), [*scope, "__len"]).select(*scope, "__a", "__b")] if k else []
+    short = [mine.where(F.col("__len") <= k).select(*scope, F.col("__n").alias("__a"), "__len").join(plan(reach.where("__len >= 1")), [*scope, "__len"]).select(*scope, "__a", "__b")] if k else []
     both = reduce(DataFrame.unionByName, short, met).distinct().withColumn("edits", F.levenshtein("__a", "__b", k)).where("edits >= 0")
     return both.withColumnsRenamed({"__a": a, "__b": b})
 
@@ -102,7 +103,7 @@ def contained_pairs(df: DataFrame, scope: Sequence[str], name: str, least: float
     lengths = n.select(*scope, "__n", F.explode(F.sequence(F.greatest(F.ceil(size * least - 1e-9).cast("int"), F.lit(1)), size)).alias("__k"))
     subs = lengths.select(*scope, F.col("__n").alias("__long"), F.explode(F.sequence(F.lit(1), F.char_length("__n") - F.col("__k") + 1)).alias("__at"), "__k")
     subs = subs.select(*scope, "__long", F.col("__long").substr(F.col("__at"), F.col("__k")).alias("__n")).where("__n <> __long").distinct()
-    met = subs.join(n, [*scope, "__n"])
+    met = subs.join(unplanned(n), [*scope, "__n"])
     return met.select(*scope, F.least("__n", "__long").alias("a"), F.greatest("__n", "__long").alias("b")).distinct()
 
 

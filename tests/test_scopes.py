@@ -5,7 +5,7 @@ import random
 import pytest
 
 from kgspark import queries
-from kgspark.operators import lookup, similarity
+from kgspark.operators import coref, lookup, similarity
 
 from .oracle import SF
 
@@ -18,7 +18,7 @@ def names(n, seed, scopes="d"):
     return [(i, random.choice(scopes), " ".join(random.choice(WORDS) for _ in range(random.randint(0, 5)))) for i in range(n)] + [(n, None, "zinc"), (n + 1, "d", None)]
 
 
-@pytest.mark.parametrize("name", ["find_targets", "relationships", "dangling_references", "overlapping_targets"])
+@pytest.mark.parametrize("name", ["find_targets", "relationships", "dangling_references", "overlapping_targets", "coreferences"])
 def test_no_table_is_broadcast_by_its_size(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -62,3 +62,12 @@ def test_overlapping_in_a_large_document(spark, monkeypatch):
     refs, ents = sides(spark)
     a, b = both_ways(monkeypatch, lookup, lambda: sorted(r["i"] for r in lookup.overlapping_names(refs, ents.where("n LIKE '%a%' AND n LIKE '% %'"), ["d"], "i", "r", "n").collect()))
     assert a == b and 0 < len(a) < 90
+
+
+def test_coreferences_in_a_large_document(spark, monkeypatch):
+    random.seed(3)
+    short = [(200 + i, "d", w) for i, w in enumerate(["ZO", "OOP", "Zi", "PA", "zinc oxid", "zinc oxyde", "plant", "plants"])]
+    rows = spark.createDataFrame([*names(90, 4, "ddddddde"), *short], "i long, d string, n string")
+    run = lambda: sorted((tuple(r) for r in coref.resolve(rows, ["d"], order="i", text="n").select("i", "group_key").collect()), key=str)
+    a, b = both_ways(monkeypatch, coref, run)
+    assert a == b and len(a) == 100
