@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _TOKEN = regex.compile(r"[^\W\d_]+|\d+|([^\w\s]|_)\1*")
 _GRAPHEME = regex.compile(r"\X")
+# Two characters that both break on either side (or are controls) never share a grapheme; only what else there is, with its neighbours, needs a look.
+_JOINING = regex.compile(r"(?s)(?:.?[^\p{GCB=Other}\x00-\x1f\x7f]++)+.?")
+_SAFE_CUT = regex.compile(r"(?<=\p{GCB=Other})\p{GCB=Other}")
+#: Characters looked at together, and rows made of texts that go out together: what a Python worker holds.
+PIECE, ROWS_OUT = 1 << 19, 1 << 15
 # Single marks that end a sentence, and words whose point does not.
 ENDS = (".", "?", "!", "。", "！", "？", "।")
 ABBREVIATIONS = ("Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "St.")
@@ -122,25 +130,116 @@ def char_range(tokens: Sequence[Token], start: int, end: int) -> tuple[int, int]
     return tokens[start][1], tokens[end - 1][2]
 
 
-def _mapped(df: DataFrame, keep: list[str], text: str, schema: str, rows_of: Callable[[str], list[tuple]]) -> DataFrame:
+def _mapped(df: DataFrame, keep: list[str], text: str, schema: str, rows_of: Callable[[str], Iterable[tuple]]) -> DataFrame:
     """One output row per tuple that ``rows_of`` makes of a text, with the kept columns; nulls and blanks give none."""
     kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(*r[:-1], *x) for r in pdf.itertuples(index=False, name=None) if r[-1] for x in rows_of(r[-1])]
-            yield pd.DataFrame(rows, columns=[*keep, *names])
+            made = ((*r[:-1], *x) for r in pdf.itertuples(index=False, name=None) if r[-1] for x in rows_of(r[-1]))
+            while rows := list(islice(made, ROWS_OUT)):
+                yield pd.DataFrame(rows, columns=[*keep, *names])
 
     return df.select(*keep, F.col(text).alias("__text")).mapInPandas(run, f"{kept}, {schema}")
 
 
 def tokenize(df: DataFrame, keep: list[str], text: str, tokens_of: TokenizeFn = regex_tokens) -> DataFrame:
     """Long form: token_idx, token_type (0 word, 1 number, 2 punctuation), start_pos, end_pos, after_newline, token."""
-    rows = lambda t: [(i, k, b, e, f, t[b:e]) for i, (k, b, e, f) in enumerate(tokens_of(t))]
+    rows = lambda t: ((i, k, b, e, f, t[b:e]) for i, (k, b, e, f) in enumerate(tokens_of(t)))
     return _mapped(df, keep, text, "token_idx int, token_type int, start_pos int, end_pos int, after_newline boolean, token string", rows)
 
 
+def _pieces(text: str, size: int) -> Iterator[tuple[int, str]]:
+    """A text cut between graphemes, about ``size`` characters each, with the place of each."""
+    at = 0
+    while at < len(text):
+        cut = _SAFE_CUT.search(text, at + size) if len(text) - at > size else None
+        end = cut.start() if cut else len(text)
+        yield at, text[at:end]
+        at = end
+
+
+def graphemes(df: DataFrame, keep: list[str], text: str, size: int = PIECE) -> DataFrame:
+    """``tokenize`` by user-perceived character (``grapheme_tokens``), over whole stretches of texts at a time."""
+    kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    names = ["token_idx", "token_type", "start_pos", "end_pos", "after_newline", "token"]
+
+    def rows(parts: list[tuple[int, int, int, int, bool, str]]) -> tuple[np.ndarray, list[pa.Array], np.ndarray]:
+        """Of pieces (row, place in the text, first index, -, new line pending, text), joined by new lines that no piece holds:
+        the number of the piece of each token, its columns, and whether each piece ends with a new line pending."""
+        whole = "\n".join(p[-1] for p in parts)
+        codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        start = np.ones(len(codes) + 1, bool)
+        for m in _JOINING.finditer(whole):
+            start[m.start() + 1 : m.end()] = False
+            start[[g.start() for g in _GRAPHEME.finditer(whole, m.start(), m.end())]] = True
+        used, of = np.unique(codes, return_inverse=True)
+        chars = [chr(c) for c in used]
+        space = np.array([c.isspace() for c in chars], bool)[of]
+        kind = np.array([NUMBER if c.isdigit() else WORD if c.isalpha() else PUNCTUATION for c in chars], np.int32)[of]
+        begins = np.flatnonzero(start)
+        b, e = begins[:-1], begins[1:]
+        real = ~space[b] | (e - b > 1)
+        b, e = b[real], e[real]
+        sizes = np.array([len(p[-1]) for p in parts])
+        first = np.cumsum(sizes + 1) - sizes - 1
+        piece = np.searchsorted(first, b, "right") - 1
+        lines = np.concatenate(([0], np.cumsum((codes == 10) | (codes == 13))))
+        one = np.concatenate(([True], piece[1:] != piece[:-1])) if len(b) else np.zeros(0, bool)
+        since = np.where(one, first[piece], np.concatenate(([0], e[:-1]))) if len(b) else b
+        fresh = lines[b] > lines[since]
+        fresh[one] |= np.array([p[4] for p in parts], bool)[piece[one]]
+        ends = first + sizes
+        last = first.copy()
+        np.maximum.at(last, piece, e)
+        had = np.zeros(len(parts), bool)
+        had[piece] = True
+        pending = (lines[ends] > lines[last]) | (~had & np.array([p[4] for p in parts], bool))
+        count = np.bincount(piece, minlength=len(parts))
+        index = np.arange(len(b)) - (np.cumsum(count) - count)[piece] + np.array([p[2] for p in parts])[piece]
+        place = (np.array([p[1] for p in parts]) - first)[piece]
+        width = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
+        inside = np.zeros(len(codes) + 1, np.int8)
+        inside[b] += 1
+        inside[e] -= 1
+        held = np.cumsum(inside[:-1]) > 0
+        data = codes[held].tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        upto = np.concatenate(([0], np.cumsum(width)))
+        offsets = np.concatenate(([0], np.cumsum(upto[e] - upto[b]))).astype(np.int32)
+        tokens = pa.StringArray.from_buffers(len(b), pa.py_buffer(offsets), pa.py_buffer(data))
+        columns = [pa.array(index.astype(np.int32)), pa.array(kind[b]), pa.array((b + place).astype(np.int32)), pa.array((e + place).astype(np.int32)), pa.array(fresh), tokens]
+        return piece, columns, np.stack([count, pending])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            def made(parts: list[tuple]) -> pa.RecordBatch:
+                piece, columns, _ = rows(parts)
+                at = pa.array(np.array([p[0] for p in parts])[piece])
+                return pa.RecordBatch.from_arrays([*(batch[c].take(at) for c in keep), *columns], names=[*keep, *names])
+
+            parts, held = [], 0
+            for i, cell in enumerate(batch["__text"]):
+                if not (t := cell.as_py()):
+                    continue
+                if len(t) > size:  # by itself, piece by piece
+                    index, pending = 0, False
+                    for at, x in _pieces(t, size):
+                        piece, columns, after = rows([(i, at, index, 0, pending, x)])
+                        index, pending = index + int(after[0, 0]), bool(after[1, 0])
+                        yield pa.RecordBatch.from_arrays([*(batch[c].take(pa.array(np.full(len(piece), i))) for c in keep), *columns], names=[*keep, *names])
+                    continue
+                parts.append((i, 0, 0, 0, False, t))
+                held += len(t)
+                if held > size:
+                    yield made(parts)
+                    parts, held = [], 0
+            if parts:
+                yield made(parts)
+
+    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, f"{kept}, token_idx int, token_type int, start_pos int, end_pos int, after_newline boolean, token string")
+
+
 def words(text: Column) -> Column:
     """Runs of letters or digits, lower case, without leaving the JVM (no offsets)."""
     return F.transform(F.regexp_extract_all(text, F.lit(r"\p{L}+|\p{Nd}+"), F.lit(0)), F.lower)

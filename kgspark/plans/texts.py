@@ -72,7 +72,7 @@ def tokens(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def graphemes(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens by user-perceived character, of the documents."""
-    return text.tokenize(table(spark, sf, "documents"), ["doc_id"], "text", text.grapheme_tokens)
+    return text.graphemes(table(spark, sf, "documents"), ["doc_id"], "text")
 
 
 _ABBREVIATIONS = "'Mr.', 'Mrs.', 'Ms.', 'Dr.', 'Prof.', 'St.'"
