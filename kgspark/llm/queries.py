@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import HOT_ROWS, hot_keys
 from ..session import checkpointed, table
 from . import lists
 from .canonical import map_to_canonical
@@ -54,11 +55,30 @@ def p2_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return p2_found(spark, sf).groupBy("field_name", (F.col("entry") == "UNMATCHED").alias("unmatched")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def _offers(spark: SparkSession, sf: str, bundles: dict[str, str] | None) -> DataFrame:
+def _met(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """The rows of an id in one partition.
+
+    Of a ``hot`` id's rows that state the same properties, are trusted alike and have as many sources, only the last can
+    be chosen, so the others stay where they are, but for the least and greatest row id, which tell whether there are
+    several.
+    """
+    rows = rows.where("id IS NOT NULL AND row_id IS NOT NULL")
+    if hot is None:
+        return rows.repartition("id")
+    hot = F.broadcast(hot)
+    alike = rows.join(hot, "id", "left_semi").groupBy("id", "trust", F.array_sort("names").alias("names"), "n").agg(F.max(F.struct("updated_at", "row_id")).alias("last"), F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+    row = lambda r, at, names, n: F.struct(F.col(r).alias("row_id"), at.alias("updated_at"), names.cast("array<string>").alias("names"), n.cast("int").alias("n"))
+    bare = (row(r, F.when(F.lit(False), F.col("last.updated_at")), F.lit(None), F.lit(0)) for r in ("low", "high"))
+    few = alike.select("id", "trust", F.explode(F.array(row("last.row_id", F.col("last.updated_at"), F.col("names"), F.col("n")), *bare)).alias("r")).select("id", "trust", "r.*")
+    return rows.join(hot, "id", "left_anti").unionByName(few).repartition("id")
+
+
+def _offers(spark: SparkSession, sf: str, bundles: dict[str, str] | None, hot_rows: int = HOT_ROWS // 10) -> DataFrame:
     """(id, row_id, bundle, m0..m3, vals): what each row offers of each bundle, in one pass over the nodes.
 
     source_pmids is a bundle too; a list of sources counts by its length first, anything else by trust, then by
-    completeness. A null bundle stands for the row itself.
+    completeness. A null bundle stands for the row itself. Without ``bundles`` an id's rows share a partition; an id
+    with ``hot_rows`` rows or more offers only what can be chosen.
     """
     # trust is a fixed table of a few rows
     trust = table(spark, sf, "source_trust").groupBy("source").agg((-F.min("trust_rank")).alias("trust"))
@@ -68,7 +88,7 @@ def _offers(spark: SparkSession, sf: str, bundles: dict[str, str] | None) -> Dat
     offer = lambda b, m0, m2, vals: F.struct(b.alias("bundle"), m0.cast("int").alias("m0"), m2.cast("int").alias("m2"), vals.cast("map<string,string>").alias("vals"))
     none = F.lit(None)
     if bundles is None:
-        props = F.transform(F.map_keys("given"), lambda k: offer(F.concat(F.lit("="), k), F.lit(0), F.lit(0), none))
+        props = F.transform("names", lambda k: offer(F.concat(F.lit("="), k), F.lit(0), F.lit(0), none))
     else:
         of = F.create_map(*(F.lit(x) for kv in bundles.items() for x in kv))
         named = lambda k: F.coalesce(F.element_at(of, k), k)
@@ -78,6 +98,8 @@ def _offers(spark: SparkSession, sf: str, bundles: dict[str, str] | None) -> Dat
     row = F.array(offer(none.cast("string"), F.lit(0), F.lit(0), none))
     empty = F.filter(row, lambda x: F.lit(False))
     rows = base.withColumns({"given": given, "n": pmids})
+    if bundles is None:  # rows meet by id before they are spread over bundles
+        rows = _met(rows.select("id", "row_id", "trust", "updated_at", F.map_keys("given").alias("names"), "n"), hot_keys(table(spark, sf, "graph_nodes"), ["id"], hot_rows))
     long = rows.select("id", "row_id", "trust", "updated_at", F.explode(F.concat(row, F.coalesce(props, empty), F.coalesce(lists_, empty))).alias("o"))
     return long.select("id", "row_id", "o.bundle", "o.vals", "o.m0", F.col("trust").alias("m1"), "o.m2", F.col("updated_at").alias("m3"))
 

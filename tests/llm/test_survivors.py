@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from kgspark.llm import survivors
 from kgspark.llm.survivors import choose_bundles, search, stated
 
 SCHEMA = "id string, row_id long, bundle string, m0 int, m1 int, vals map<string,string>, s string, g string"
@@ -164,3 +165,82 @@ def test_all_nodes_against_exhaustive_search(spark):
             most = max(worth(dict(zip(tied, c))) for c in itertools.product(*(best[b].values() for b in tied)))
             assert worth({b: got[g][b] for b in tied}) == most
     assert several > 5
+
+
+def test_nodes_come_out_of_the_search(spark):
+    """p3_found has no aggregate that picks the winners beforehand."""
+    from kgspark.llm.queries import p3_found
+
+    from ..oracle import SF
+
+    plan = p3_found(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "max(" not in plan
+
+
+def stream_of(offers, size):
+    """Offers (g, b, m0, row) as a stream of batches of ``size`` rows."""
+    import pyarrow as pa
+
+    offers = sorted(offers, key=lambda o: (o[0], o[1] or "", o[2] is None, -(o[2] or 0), -o[3]))
+    rows = [(*o, 1 + sum(1 for p in offers[:i] if p[0] == o[0])) for i, o in enumerate(offers)]
+    schema = pa.schema([("g", pa.string()), ("b", pa.string()), ("m0", pa.int64()), ("row", pa.int64()), ("place", pa.int32())])
+    return [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows[i : i + size]], schema) for i in range(0, len(rows), size)]
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_search_sees_bundles_and_rivals(monkeypatch, size):
+    """Without dependencies too, a group's bundles are searched together, each with its best candidates and no more."""
+    random.seed(size)
+    seen = []
+    monkeypatch.setattr(survivors, "search", lambda b, *x: seen.append({k: len(v) for k, v in b.items()}) or search(b, *x))
+    monkeypatch.setattr(survivors, "TOGETHER", 3)
+    offers = [("a", b, random.choice([None, *range(4)]), r) for b in "pqrst" for r in range(9)]
+    offers += [("b", "p", 1, 5), ("b", "q", 1, 5), ("c", None, None, 1), ("c", "p", 2, 2), ("d", "p", None, 7), ("d", "p", 0, 6)]
+    offers += [("e", b, 0, 1) for b in "pqrst"] + [("e", "t", None, 2)]
+    got = [(r["g"], r["b"], r["row"]) for batch in survivors.stream(stream_of(offers, size), 2, True) for r in batch.to_pylist()]
+    best = {}
+    for g, b, m, r in offers:
+        if b is not None and g != "b":
+            best[g, b] = max(best.get((g, b), (-1, 0, 0)), (-(m is None), m or 0, r))
+    assert sorted(got) == sorted((g, b, x[2]) for (g, b), x in best.items())
+    assert seen == [{"p": 3, "q": 3, "r": 3}, {"s": 3, "t": 3}, {"p": 1}, {"p": 2}, {"p": 1, "q": 1, "r": 1}, {"s": 1, "t": 2}]
+
+
+def test_merits_that_hide_no_others(spark):
+    """Not-a-numbers, infinities and great numbers leave the other bundles' merits to decide."""
+    nan, inf = float("nan"), float("inf")
+    rows = [("p", nan), ("p", inf), ("p", 1e300), ("q", 1.0), ("q", 2.0), ("r", -inf), ("r", None), ("s", inf), ("s", 3.0), ("t", 0.5), ("t", 0.25)]
+    df = spark.createDataFrame([("a", b, m, i, 10 - i) for i, (b, m) in enumerate(rows)], "id string, bundle string, m double, row_id long, later int")
+    out = choose_bundles(df, group="id", row="row_id", bundle="bundle", merit=["m", "later"])
+    assert {r["bundle"]: r["row_id"] for r in out.collect()} == {"p": 0, "q": 4, "r": 5, "s": 7, "t": 9}
+
+
+def test_many_bundles(spark):
+    rows = [("a", r, f"b{b:03}", (r * b) % 5, None, None) for r in range(1, 4) for b in range(150)]
+    want = {f"b{b:03}": max(range(1, 4), key=lambda r, b=b: ((r * b) % 5, r)) for b in range(150)}
+    assert pick(spark, rows, several=True) == [("a", b, r) for b, r in sorted(want.items())]
+
+
+def test_ids_of_very_many_rows(spark, tmp_path):
+    """Rows of a hot id that can't be chosen are left out, but count as rows."""
+    from pyspark.sql import functions as F
+
+    from kgspark.llm.queries import _offers, p3_found
+
+    random.seed(5)
+    rows = []
+    for i in range(1500):
+        names = random.sample("abc", random.randint(0, 3))
+        props = None if random.random() < 0.05 else {k: random.choice(["x", "N/A", None]) for k in names}
+        at = None if random.random() < 0.1 else f"2024-01-{random.randint(1, 9):02}"
+        rows.append((random.choice([None, "h", "h", "h", "i", f"j{i // 4}"]), None if i % 50 == 0 else i, props, random.choice([None, ["p"], ["p", "q", " "]]), random.choice(["s", "t", "u", None]), at))
+    rows += [("same", 5000 + i % 2, {"a": "x"}, None, "s", "2024-01-01") for i in range(200)] + [("one", 6000, {"a": "x"}, ["p"], "s", "2024-01-01")] * 200
+    nodes = spark.createDataFrame(rows, "id string, row_id long, properties map<string,string>, source_pmids array<string>, source string, at string")
+    nodes.withColumn("updated_at", F.to_timestamp("at")).drop("at").write.parquet(f"{tmp_path}/graph_nodes.parquet")
+    spark.createDataFrame([("s", 1), ("t", 2)], "source string, trust_rank int").write.parquet(f"{tmp_path}/source_trust.parquet")
+    want = sorted(tuple(r) for r in p3_found(spark, str(tmp_path)).collect())
+    offers = _offers(spark, str(tmp_path), None, hot_rows=100)
+    got = choose_bundles(offers, group="id", row="row_id", bundle="bundle", merit=["m0", "m1", "m2", "m3"], several=True)
+    assert sorted((r["id"], r["bundle"].lstrip("="), r["row_id"]) for r in got.collect()) == want
+    assert ("same", "a", 5001) in want and "one" not in {r[0] for r in want}
+    assert offers.where("id = 'same'").count() < 20 and offers.count() < _offers(spark, str(tmp_path), None).count() / 2
